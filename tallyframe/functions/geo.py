@@ -14,22 +14,3 @@ def great_circle_miles(lat1: Column, long1: Column, lat2: Column, long2: Column)
     a, b = F.radians(lat1), F.radians(lat2)
     cosine = F.sin(a) * F.sin(b) + F.cos(a) * F.cos(b) * F.cos(F.radians(long2) - F.radians(long1))
     return F.lit(EARTH_MILES) * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
-
-
-def miles_to_box(lat: Column, long: Column, south: Column, west: Column, size: Column) -> Column:
-    """A lower bound of the distance from a point to a ``size`` x ``size`` degree box.
-
-    A point is never nearer than its latitude gap, nor nearer than the great
-    circle through the closest meridian of the box.
-    """
-    north, east = south + size, west + size
-    lat_gap = F.greatest(F.lit(0.0), south - lat, lat - north)
-
-    def turn(a: Column, b: Column) -> Column:
-        d = F.abs(a - b)
-        return F.least(d, F.lit(360.0) - d)
-
-    inside = (long >= west) & (long <= east)
-    long_gap = F.when(inside, F.lit(0.0)).otherwise(F.least(turn(long, west), turn(long, east)))
-    across = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(F.least(long_gap, F.lit(90.0)))))
-    return F.lit(EARTH_MILES) * F.greatest(F.radians(lat_gap), across)

@@ -33,9 +33,9 @@ def prefix_before(col: Column, mark: str) -> Column:
 
 def list_items(col: Column) -> Column:
     """``'1, 2,5'`` -> ``['1', '2', '5']``; NULL stays NULL."""
-    return F.transform(F.split(col, ","), lambda item: F.trim(item))
+    return F.split(F.trim(col), r"\s*,\s*")
 
 
 def list_ids(col: Column) -> Column:
     """A delimited list of whole numbers as an array of int."""
-    return F.transform(list_items(col), lambda item: item.cast("int"))
+    return list_items(col).cast("array<int>")

@@ -1,10 +1,12 @@
 """Nearest site by great-circle distance, without pairing all points with all sites.
 
-Sites are summarised in a tree of square degree cells, each child eight times
-smaller than its parent. Every point walks down the tree: at each level it
-meets only the children of its surviving cells, learns an upper bound from one
-real site per cell, and drops the cells that cannot hold anything as near.
-Only the sites in the last surviving cells are compared exactly.
+Points and sites are both summarised in square degree cells on four levels, a
+cell holding eight by eight cells of the next level. From the coarsest level
+down, each cell with points keeps only the cells with sites that may hold the
+nearest site of any of its points: a real site in one of them gives an upper
+bound, the gap between two cells a lower bound. All this works on cells; only at the end
+do the points meet the sites in the few cells left for their own cell, which
+are compared exactly.
 """
 
 from __future__ import annotations
@@ -12,18 +14,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.geo import great_circle_miles, miles_to_box
+from tallyframe.functions.geo import EARTH_MILES, great_circle_miles
 
-# Cell edges in degrees, each an eighth of the one before.
-CELL_DEGREES = (180.0, 22.5, 2.8125, 0.3515625, 0.0439453125)
+# The finest cell edge in degrees and how far each level is above it (as powers of two).
+LEAF_DEGREES = 180.0 / 2**12
+LEVELS = (9, 6, 3, 0)
+# Fixed value: a level with no more cells than this on the whole earth is small enough to broadcast.
+_BROADCAST_CELLS = 1_000_000
 # Distances are compared to a thousandth of a mile: the cosine formula itself is
 # only good to about 0.0001 miles, and equal distances must be ties.
 RESOLUTION_DIGITS = 3
 _SLACK_MILES = 0.01
 
 
-def _cell(lat: Column, long: Column, size: float) -> tuple[Column, Column]:
-    return F.floor((lat + 90.0) / size), F.floor((long + 180.0) / size)
+def _leaf(lat: str, long: str) -> list[Column]:
+    return [F.floor((F.col(lat) + 90.0) / LEAF_DEGREES).alias("y"), F.floor((F.col(long) + 180.0) / LEAF_DEGREES).alias("x")]
+
+
+def _up(y: str, x: str, steps: int, prefix: str) -> list[Column]:
+    return [F.shiftright(y, steps).alias(f"{prefix}y"), F.shiftright(x, steps).alias(f"{prefix}x")]
+
+
+def _cell_gap(size: float) -> Column:
+    """Lower bound of the miles between cell (py, px) and cell (sy, sx)."""
+    rows = F.greatest(F.lit(0), F.abs(F.col("py") - F.col("sy")) - 1)
+    around = int(360 / size)
+    turn = F.abs(F.col("px") - F.col("sx"))
+    columns = F.greatest(F.lit(0), F.least(turn, F.lit(around) - turn) - 1)
+    south = F.radians(F.col("py") * size - 90.0)
+    north = F.radians((F.col("py") + 1) * size - 90.0)
+    across = F.asin(F.least(F.cos(south), F.cos(north)) * F.sin(F.radians(F.least(columns * size, F.lit(90.0)))))
+    return F.lit(EARTH_MILES) * F.greatest(F.radians(rows * size), across)
+
+
+def _half_way_across(size: float) -> Column:
+    """Upper bound of the miles from the middle of cell (py, px) to any of its points: along the meridian, then the parallel."""
+    south = F.radians(F.col("py") * size - 90.0)
+    north = F.radians((F.col("py") + 1) * size - 90.0)
+    return F.lit(EARTH_MILES) * F.radians(F.lit(size / 2)) * (1 + F.greatest(F.cos(south), F.cos(north)))
+
+
+def _candidate_cells(place_cells: DataFrame, site_cells: DataFrame) -> DataFrame:
+    """For every leaf cell with points (py, px) the leaf cells (sy, sx) that may hold a nearest site."""
+    pairs = None
+    for level, steps in enumerate(LEVELS):
+        size = LEAF_DEGREES * 2**steps
+        rows, columns = int(180 / size) + 1, int(360 / size) + 1  # cells on the whole earth, edges included
+        with_points = place_cells.select(*_up("y", "x", steps, "p")).distinct()
+        with_sites = site_cells.groupBy(*_up("y", "x", steps, "s")).agg(F.min("site_at").alias("site_at"))
+        if rows * columns <= _BROADCAST_CELLS:
+            with_points, with_sites = F.broadcast(with_points), F.broadcast(with_sites)
+        if pairs is None:
+            # The coarsest level has 9 x 17 cells, so this is a small fixed number of pairs.
+            all_cells = F.explode(F.sequence(F.lit(0), F.lit(rows * columns - 1)))
+            pairs = with_points.select("py", "px", all_cells.alias("i")).select(
+                "py", "px", F.expr(f"CAST(i DIV {columns} AS BIGINT) AS sy"), F.expr(f"CAST(i % {columns} AS BIGINT) AS sx")
+            ).join(with_sites, ["sy", "sx"])
+        else:
+            wider = LEVELS[level - 1] - steps
+            above = pairs.select(F.col("py").alias("ppy"), F.col("px").alias("ppx"), F.col("sy").alias("psy"), F.col("sx").alias("psx"))
+            pairs = above.join(with_points.select("py", "px", *_up("py", "px", wider, "pp")), ["ppy", "ppx"]).join(
+                with_sites.select("sy", "sx", "site_at", *_up("sy", "sx", wider, "ps")), ["psy", "psx"]
+            )
+        middle = [(F.col(c) + 0.5) * size - edge for c, edge in (("py", 90.0), ("px", 180.0))]
+        reach = great_circle_miles(*middle, F.col("site_at.lat"), F.col("site_at.long")) + _half_way_across(size)
+        pairs = (
+            pairs.withColumn("bound", F.min(reach).over(Window.partitionBy("py", "px")))
+            .filter(_cell_gap(size) <= F.col("bound") + _SLACK_MILES)
+            .select("py", "px", "sy", "sx", "site_at")
+        )
+    return pairs
 
 
 def nearest_site(
@@ -35,59 +95,28 @@ def nearest_site(
     keeps NULLs.
     """
     # Points and sites that share a place are handled once.
-    places = (
-        points.select(F.col(point_lat).alias("_plat"), F.col(point_long).alias("_plong"))
-        .dropna()
-        .distinct()
-    )
+    places = points.select(F.col(point_lat).alias("plat"), F.col(point_long).alias("plong")).dropna().distinct()
+    places = places.select("plat", "plong", *_leaf("plat", "plong"))
     spots = (
         sites.dropna(subset=[site_lat, site_long])
-        .groupBy(F.col(site_lat).alias("_slat"), F.col(site_long).alias("_slong"))
+        .groupBy(F.col(site_lat).alias("lat"), F.col(site_long).alias("long"))
         .agg(F.min(site).alias(site))
+        .select("lat", "long", site, *_leaf("lat", "long"))
+    )
+    # Each level is one small aggregation straight from the tables.
+    candidates = _candidate_cells(
+        points.select(*_leaf(point_lat, point_long)).dropna(),
+        sites.select(*_leaf(site_lat, site_long), F.struct(F.col(site_lat).alias("lat"), F.col(site_long).alias("long")).alias("site_at")).dropna(),
     )
-    for level, size in enumerate(CELL_DEGREES):
-        y, x = _cell(F.col("_slat"), F.col("_slong"), size)
-        spots = spots.withColumn(f"_y{level}", y).withColumn(f"_x{level}", x)
-
-    walk = places
-    for level, size in enumerate(CELL_DEGREES):
-        up = level - 1
-        parent = [f"_y{up}", f"_x{up}"] if level else []
-        here = [f"_y{level}", f"_x{level}"]
-        cells = spots.groupBy(*parent, *here).agg(F.min(F.struct("_slat", "_slong")).alias("_rep"))
-        if level:
-            walk = walk.join(cells, parent, "inner").drop(*parent)
-        else:
-            # The whole earth is at most eight cells (two by three, edges included).
-            roots = F.expr("explode(flatten(transform(sequence(0L, 1L), y -> transform(sequence(0L, 2L), x -> struct(y AS _y0, x AS _x0)))))")
-            walk = walk.select("_plat", "_plong", roots.alias("_c")).select("_plat", "_plong", "_c._y0", "_c._x0")
-            walk = walk.join(cells, here, "inner")
-        per_point = Window.partitionBy("_plat", "_plong")
-        walk = (
-            walk.withColumn("_far", great_circle_miles(F.col("_plat"), F.col("_plong"), F.col("_rep._slat"), F.col("_rep._slong")))
-            .withColumn(
-                "_near",
-                miles_to_box(
-                    F.col("_plat"),
-                    F.col("_plong"),
-                    F.col(here[0]) * size - 90.0,
-                    F.col(here[1]) * size - 180.0,
-                    F.lit(size),
-                ),
-            )
-            .withColumn("_bound", F.min("_far").over(per_point))
-            .filter(F.col("_near") <= F.col("_bound") + _SLACK_MILES)
-            .select("_plat", "_plong", *here)
-        )
 
-    last = [f"_y{len(CELL_DEGREES) - 1}", f"_x{len(CELL_DEGREES) - 1}"]
-    miles = great_circle_miles(F.col("_plat"), F.col("_plong"), F.col("_slat"), F.col("_slong"))
+    around = candidates.select(F.col("py").alias("y"), F.col("px").alias("x"), "sy", "sx")
+    looked_at = places.join(around, ["y", "x"]).select("plat", "plong", F.col("sy").alias("y"), F.col("sx").alias("x"))
+    miles = great_circle_miles(F.col("plat"), F.col("plong"), F.col("lat"), F.col("long"))
     best = (
-        walk.join(spots.select(*last, "_slat", "_slong", site), last, "inner")
-        .withColumn("distance", F.round(miles, RESOLUTION_DIGITS))
-        .groupBy("_plat", "_plong")
-        .agg(F.min(F.struct("distance", site)).alias("_best"))
-        .select("_plat", "_plong", F.col(f"_best.{site}").alias(site), F.col("_best.distance").alias("distance"))
+        looked_at.join(spots, ["y", "x"])
+        .groupBy("plat", "plong")
+        .agg(F.min(F.struct(F.round(miles, RESOLUTION_DIGITS).alias("distance"), site)).alias("best"))
+        .select("plat", "plong", F.col("best")[site].alias(site), F.col("best.distance").alias("distance"))
     )
-    same_place = (points[point_lat] == best["_plat"]) & (points[point_long] == best["_plong"])
-    return points.join(best, same_place, "left").drop("_plat", "_plong")
+    same_place = (points[point_lat] == best["plat"]) & (points[point_long] == best["plong"])
+    return points.join(best, same_place, "left").drop("plat", "plong")

@@ -210,25 +210,71 @@ def _named_lists(lines: DataFrame, toppings: DataFrame) -> DataFrame:
         explode_items(texts, list_ids(F.col("list_text")), "topping_id")
         .join(toppings, "topping_id")
         .groupBy("list_text")
-        .agg(F.array_join(F.array_sort(F.collect_list("topping_name")), ", ").alias("list_names"))
+        .agg(F.array_sort(F.collect_list("topping_name")).alias("list_names"))
     )
 
 
-def order_item_labels(lines: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
-    """``Name``, ``Name - Exclude A, B``, ``Name - Extra C`` or both, for every line."""
+def _with_names(lines: DataFrame, toppings: DataFrame) -> DataFrame:
+    """Cleaned lines with the names of their exclusions and extras (NULL without any)."""
     clean = clean_customer_orders(lines)
     lists = _named_lists(clean, toppings)
     left_out = lists.select(F.col("list_text").alias("exclusions"), F.col("list_names").alias("out_names"))
     added = lists.select(F.col("list_text").alias("extras"), F.col("list_names").alias("in_names"))
-    rows = clean.join(left_out, "exclusions", "left").join(added, "extras", "left").join(names, "pizza_id", "left")
+    return clean.join(left_out, "exclusions", "left").join(added, "extras", "left")
+
+
+def order_item_labels(lines: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+    """``Name``, ``Name - Exclude A, B``, ``Name - Extra C`` or both, for every line."""
+    rows = _with_names(lines, toppings).join(names, "pizza_id", "left")
     label = F.concat(
         "pizza_name",
-        F.coalesce(F.concat(F.lit(" - Exclude "), "out_names"), F.lit("")),
-        F.coalesce(F.concat(F.lit(" - Extra "), "in_names"), F.lit("")),
+        F.coalesce(F.concat(F.lit(" - Exclude "), F.array_join("out_names", ", ")), F.lit("")),
+        F.coalesce(F.concat(F.lit(" - Extra "), F.array_join("in_names", ", ")), F.lit("")),
     )
     return rows.select("order_id", "customer_id", "pizza_name", label.alias("label"))
 
 
+def _times(item: Column, array: Column) -> Column:
+    return F.size(array) - F.size(F.array_remove(array, item))
+
+
+def ingredient_lists(lines: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+    """``Name: 2xBacon, Beef`` for every line, numbered within its order.
+
+    Recipe and list names are looked up once per pizza and per distinct list;
+    on the line itself only short arrays are left to combine. ``line_slice``
+    and ``line_sort`` give the lines of an order their order.
+    """
+    menu = (
+        explode_items(recipes, list_ids(F.col("toppings")), "topping_id")
+        .join(toppings, "topping_id")
+        .groupBy("pizza_id")
+        .agg(F.collect_list("topping_name").alias("recipe"))
+        .join(names, "pizza_id")
+    )
+    numbered = running_row_number(
+        clean_customer_orders(lines), ["order_id"], "line_slice", [F.col("line_sort")], "pizza_number_within_order"
+    )
+    none = F.array().cast("array<string>")
+    on_it = F.concat("recipe", F.coalesce("in_names", none))
+    rows = (
+        _with_names(numbered.drop("line_slice", "line_sort"), toppings)
+        .join(menu, "pizza_id")
+        .withColumn("on_it", on_it)
+        .withColumn("off_it", F.coalesce("out_names", none))
+    )
+
+    def counted(name: Column) -> Column:
+        amount = _times(name, F.col("on_it")) - _times(name, F.col("off_it"))
+        many = F.concat(amount.cast("string"), F.lit("x"), name)
+        return F.when(amount > 1, many).when(amount == 1, name)
+
+    items = F.transform(F.array_sort(F.array_distinct("on_it")), counted)
+    # array_join leaves out NULLs: toppings that were taken off.
+    text = F.concat("pizza_name", F.lit(": "), F.array_join(items, ", "))
+    return rows.select("order_id", "customer_id", "pizza_id", "pizza_number_within_order", text.alias("ingredient_list"))
+
+
 _SHAPE = ["pizza_id", "exclusions", "extras"]
 
 
@@ -244,39 +290,8 @@ def _net_toppings(shapes: DataFrame, recipes: DataFrame) -> DataFrame:
         .withColumn("off_it", F.coalesce(list_ids(F.col("exclusions")), empty))
         .withColumn("topping_id", F.explode(F.array_distinct("on_it")))
     )
-    times = "size(filter({0}, t -> t = topping_id))"
-    return (
-        rows.withColumn("amount", F.expr(f"{times.format('on_it')} - {times.format('off_it')}"))
-        .filter("amount > 0")
-        .drop("recipe", "on_it", "off_it")
-    )
-
-
-def ingredient_lists(lines: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    """``Name: 2xBacon, Beef`` for every line, numbered within its order.
-
-    The list is made once per distinct kind of line. ``line_slice`` and
-    ``line_sort`` give the lines of an order their order.
-    """
-    clean = clean_customer_orders(lines)
-    shapes = clean.select(*_SHAPE).distinct()
-    item = F.concat(F.when(F.col("amount") > 1, F.concat(F.col("amount").cast("string"), F.lit("x"))).otherwise(""), "topping_name")
-    texts = (
-        _net_toppings(shapes, recipes)
-        .join(toppings, "topping_id")
-        .groupBy(*_SHAPE)
-        .agg(F.array_sort(F.collect_list(F.struct("topping_name", item.alias("item")))).alias("items"))
-        .join(names, "pizza_id")
-        .select(
-            F.col("pizza_id").alias("_p"),
-            F.col("exclusions").alias("_x"),
-            F.col("extras").alias("_e"),
-            F.concat("pizza_name", F.lit(": "), F.array_join("items.item", ", ")).alias("ingredient_list"),
-        )
-    )
-    numbered = running_row_number(clean, ["order_id"], "line_slice", [F.col("line_sort")], "pizza_number_within_order")
-    same = (F.col("pizza_id") == F.col("_p")) & F.col("exclusions").eqNullSafe(F.col("_x")) & F.col("extras").eqNullSafe(F.col("_e"))
-    return numbered.join(texts, same).select("order_id", "customer_id", "pizza_id", "pizza_number_within_order", "ingredient_list")
+    amount = _times(F.col("topping_id"), F.col("on_it")) - _times(F.col("topping_id"), F.col("off_it"))
+    return rows.withColumn("amount", amount).filter("amount > 0").drop("recipe", "on_it", "off_it")
 
 
 def ingredient_totals(lines: DataFrame, runner_orders: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
