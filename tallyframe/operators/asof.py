@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.operators.running import HOT_ROWS, cut_hot_groups, with_carry
+
 
 def asof_join(
     left: DataFrame,
@@ -17,60 +19,49 @@ def asof_join(
     slice_by: str,
     direction: str = "forward",
     strict: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every left row with the ``take`` columns of the closest right row of the same key.
 
     ``forward`` looks for the first later right row, ``backward`` for the last
     earlier one; ``strict`` leaves equal times out. Both sides hold ``by``,
     ``time`` and ``slice_by``, a column that never decreases with ``time`` (its
-    day, say). Left rows without a match keep NULLs. Among right rows with the
-    same time the one with the smallest ``take`` values wins.
+    day, say). Left rows without a match keep NULLs. Among right rows of the
+    same time the smallest ``take`` wins looking forward, the largest backward.
 
-    The two sides are stacked and read once per (key, slice); the match from
-    beyond the slice comes in as one carried row, so neither a range join nor a
-    whole key in one task is needed.
+    The two sides are stacked and read once per key, or once per (key, slice)
+    where a key is very large; the match from beyond the slice then comes in
+    as one carried row. There is neither a range join nor a large key in one task.
     """
     forward = direction == "forward"
-    keys = [*by, slice_by]
-    hit = F.struct(F.col(time), *[F.col(c) for c in take])
     # The window walks towards the match: backwards in time for "forward".
     pick = F.min if forward else F.max
-    along = (lambda c: F.col(c).desc()) if forward else (lambda c: F.col(c).asc())
-
-    # One row per (key, time) on the right, so that equal times cannot disagree.
-    right_rows = right.groupBy(*keys, time).agg(F.min(F.struct(*take)).alias("_t"))
-    right_rows = right_rows.select(*keys, time, *[F.col(f"_t.{c}").alias(c) for c in take]).withColumn("_hit", hit)
-
-    marks = right_rows.groupBy(*keys).agg(pick("_hit").alias("_slice_hit"))
-    slots = left.select(*keys).distinct()
-    over_slices = Window.partitionBy(*by).orderBy(along(slice_by)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        slots.withColumn("_slot", F.lit(1))
-        .unionByName(marks, allowMissingColumns=True)
-        .groupBy(*keys)
-        .agg(F.max("_slot").alias("_slot"), pick("_slice_hit").alias("_slice_hit"))
-        .withColumn("_hit", F.last("_slice_hit", ignorenulls=True).over(over_slices))
-        .filter("_slot = 1 AND _hit IS NOT NULL")
-        .select(*keys, "_hit")
+    along = F.desc if forward else F.asc
+    # Rows that come later in the walk see the earlier ones, so with ``strict`` left rows go first at equal times.
+    left_side, right_side = (1, 2) if strict else (2, 1)
+    hit = F.struct(F.col(time), *[F.col(c) for c in take])
+    stacked = left.withColumn("_side", F.lit(left_side)).unionByName(
+        right.select(*by, time, slice_by, hit.alias("_hit"), F.lit(right_side).alias("_side")), allowMissingColumns=True
     )
-
-    side_of_left = 1 if strict else 2  # read before or after right rows of the same time
-    stacked = (
-        left.withColumn("_own", F.lit(1)).withColumn("_side", F.lit(side_of_left))
-        .unionByName(
-            right_rows.select(*keys, time, "_hit").withColumn("_own", F.lit(2)).withColumn("_side", F.lit(3 - side_of_left)),
-            allowMissingColumns=True,
-        )
-        .unionByName(
-            carry.withColumn("_own", F.lit(0)).withColumn("_side", F.lit(0)), allowMissingColumns=True
-        )
+    rows = cut_hot_groups(stacked, by, slice_by, hot_rows)
+    beyond = Window.partitionBy(*by).orderBy(along("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        rows.filter(F.col("_slice").isNotNull())
+        .groupBy(*by, "_slice")
+        .agg(pick("_hit").alias("_hit"))
+        .select(*by, "_slice", F.last("_hit", ignorenulls=True).over(beyond).alias("_hit"))
+        .filter(F.col("_hit").isNotNull())
     )
-    window = (
-        Window.partitionBy(*keys)
-        .orderBy(F.when(F.col("_own") == 0, 0).otherwise(1), along(time), "_side")
+    walk = (
+        Window.partitionBy(*by, "_slice")
+        .orderBy("_own", along(time), "_side", along("_hit"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    found = stacked.withColumn("_found", F.last("_hit", ignorenulls=True).over(window)).filter("_own = 1")
+    found = (
+        with_carry(rows, carry)
+        .withColumn("_found", F.last("_hit", ignorenulls=True).over(walk))
+        .filter((F.col("_own") == 1) & (F.col("_side") == left_side))
+    )
     return found.select(*left.columns, *[F.col(f"_found.{c}").alias(c) for c in take])
 
 

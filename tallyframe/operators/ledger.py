@@ -33,5 +33,6 @@ def statement(legs: DataFrame, openings: DataFrame) -> DataFrame:
         "account", "transaction_date", F.lit(None).cast("decimal(18,2)").alias("value"), F.col("balance").alias("_change"), F.lit(0).alias("_turn")
     )
     order = [F.col("_turn"), F.col("value").desc_nulls_first()]
-    out = running_sum(rows.unionByName(starts), ["account"], "transaction_date", order, "_change", "balance")
+    # Accounts are cut by day without counting: the sums per day reuse the shuffles of the rows.
+    out = running_sum(rows.unionByName(starts), ["account"], "transaction_date", order, "_change", "balance", hot_rows=0)
     return out.select("account", "transaction_date", F.col("value").alias("transaction_value"), "balance")

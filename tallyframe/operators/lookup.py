@@ -1,0 +1,26 @@
+"""Small lookup tables as a constant instead of a join."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Fixed value: searching a map is linear, so only short tables become one.
+MAP_ROWS = 1000
+
+
+def small_map(table: DataFrame, key: str, value: str, rows: int = MAP_ROWS) -> Column | None:
+    """``table`` as one map constant, or None if it has more than ``rows`` rows (then join it).
+
+    No more than ``rows`` + 1 rows are ever read to find out. Keys are unique.
+    """
+    known = table.filter(F.col(key).isNotNull()).select(key, value).limit(rows + 1).collect()
+    if not known or len(known) > rows:
+        return None
+    keys, values = zip(*sorted(known, key=lambda r: r[0]))
+    return F.map_from_arrays(F.array(*map(F.lit, keys)), F.array(*map(F.lit, values)))
+
+
+def named_items(ids: Column, lookup: Column) -> Column:
+    """The sorted names of an array of ids; ids without a name are left out."""
+    return F.array_sort(F.array_compact(F.transform(ids, lambda i: F.try_element_at(lookup, i))))

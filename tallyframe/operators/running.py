@@ -1,111 +1,126 @@
 """Running results over groups that may be very large.
 
-A plain window puts each group into one task. Here every group is cut into
+A plain window puts each group into one task. Here a large group is cut into
 *slices* by a column that never decreases along the order (a day, a distance
 band ...). One row per slice is aggregated first and carried over the slices,
 which is a small window; then the carried value enters its slice as one extra
 row, and the row-level window runs per (group, slice). A group that holds a
 third of the table is thus spread over as many tasks as it has slices, and no
-join is needed.
+row-to-row join is needed.
+
+Groups of up to ``HOT_ROWS`` rows stay in one piece. The larger ones are found
+by a count; there are at most (rows / HOT_ROWS) of them, so that list is small
+enough to broadcast. ``hot_rows=0`` cuts every group without counting.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed value: rows that one task can sort comfortably.
+HOT_ROWS = 1_000_000
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
-def _with_carry(df: DataFrame, carry: DataFrame) -> DataFrame:
-    return df.withColumn("_own", F.lit(1)).unionByName(
-        carry.withColumn("_own", F.lit(0)), allowMissingColumns=True
+def cut_hot_groups(df: DataFrame, by: Sequence[str], slice_by: str, hot_rows: int) -> DataFrame:
+    """Adds ``_slice``: ``slice_by`` in groups of more than ``hot_rows`` rows, else NULL."""
+    if hot_rows == 0:
+        return df.withColumn("_slice", F.col(slice_by))
+    names = [f"_hot{i}" for i in range(len(by))]
+    hot = (
+        df.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)])
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") > hot_rows)
     )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)])
+    joined = df.join(F.broadcast(hot), same, "left")
+    return joined.withColumn("_slice", F.when(F.col("_rows").isNotNull(), F.col(slice_by))).drop(*names, "_rows")
+
+
+def with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Rows (``_own`` = 1) and carried rows (``_own`` = 0) in one table."""
+    return rows.withColumn("_own", F.lit(1)).unionByName(carry.withColumn("_own", F.lit(0)), allowMissingColumns=True)
+
+
+def _slices(rows: DataFrame, by: Sequence[str]):
+    return rows.filter(F.col("_slice").isNotNull()).groupBy(*by, "_slice")
+
+
+def _own_rows(df: DataFrame) -> DataFrame:
+    return df.filter("_own = 1").drop("_own", "_slice")
 
 
 def running_sum(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], value: str, out: str
+    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], value: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Sum of ``value`` from the start of the group; rows with equal order keys share it.
+    """Sum of ``value`` from the start of the group, ordered by ``slice_by`` and then ``order``.
 
-    NULL values count as zero. ``slice_by`` must be the leading part of the order.
+    Rows with equal order share their sum; NULL values count as zero.
     """
-    keys = [*by, slice_by]
-    before = Window.partitionBy(*by).orderBy(slice_by).rowsBetween(*_BEFORE)
+    rows = cut_hot_groups(df.withColumn("_add", F.col(value)), by, slice_by, hot_rows)
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
     carry = (
-        df.groupBy(*keys)
-        .agg(F.sum(value).alias("_slice_sum"))
-        .withColumn("_add", F.sum("_slice_sum").over(before))
-        .drop("_slice_sum")
+        _slices(rows, by)
+        .agg(F.sum("_add").alias("_sum"))
+        .select(*by, "_slice", F.sum("_sum").over(before).alias("_add"))
         .filter(F.col("_add").isNotNull())
     )
-    rows = _with_carry(df.withColumn("_add", F.col(value)), carry.withColumn("_add", F.col("_add")))
-    # Carried row first; the default frame of an ordered window includes equal rows.
-    window = Window.partitionBy(*keys).orderBy("_own", *order)
+    # The default frame of an ordered window includes equal rows.
+    window = Window.partitionBy(*by, "_slice").orderBy("_own", slice_by, *order)
     total = F.coalesce(F.sum("_add").over(window), F.lit(0))
-    return rows.withColumn(out, total).filter("_own = 1").drop("_own", "_add")
+    return _own_rows(with_carry(rows, carry).withColumn(out, total)).drop("_add")
 
 
 def running_row_number(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], out: str
+    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """1, 2, 3 ... within the group, ordered by ``slice_by`` and then ``order`` (unique)."""
-    keys = [*by, slice_by]
-    before = Window.partitionBy(*by).orderBy(slice_by).rowsBetween(*_BEFORE)
+    rows = cut_hot_groups(df.withColumn("_add", F.lit(1).cast("long")), by, slice_by, hot_rows)
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
     carry = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_slice_rows"))
-        .withColumn("_add", F.sum("_slice_rows").over(before))
-        .drop("_slice_rows")
+        _slices(rows, by)
+        .agg(F.count("*").alias("_n"))
+        .select(*by, "_slice", F.sum("_n").over(before).alias("_add"))
         .filter(F.col("_add").isNotNull())
     )
-    rows = _with_carry(df.withColumn("_add", F.lit(1).cast("long")), carry)
-    window = Window.partitionBy(*keys).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(out, F.sum("_add").over(window)).filter("_own = 1").drop("_own", "_add")
+    window = Window.partitionBy(*by, "_slice").orderBy("_own", slice_by, *order).rowsBetween(Window.unboundedPreceding, 0)
+    return _own_rows(with_carry(rows, carry).withColumn(out, F.sum("_add").over(window))).drop("_add")
 
 
 def previous_value(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[str], value: str, out: str
+    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``value`` of the row before, in the order ``slice_by``, ``order`` (unique)."""
-    keys = [*by, slice_by]
-    over_slices = Window.partitionBy(*by).orderBy(slice_by)
+    rows = cut_hot_groups(df, by, slice_by, hot_rows)
+    over_slices = Window.partitionBy(*by).orderBy("_slice")
     carry = (
-        df.groupBy(*keys)
-        .agg(F.max(F.struct(*order, F.col(value).alias("_v"))).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(over_slices))
-        .filter(F.col("_carried").isNotNull())
-        .select(*keys, F.col("_carried._v").alias(value))
-    )
-    window = Window.partitionBy(*keys).orderBy("_own", *order)
-    return (
-        _with_carry(df, carry)
-        .withColumn(out, F.lag(value).over(window))
-        .filter("_own = 1")
-        .drop("_own")
+        _slices(rows, by)
+        .agg(F.max(F.struct(*order, F.col(value).alias("v"))).alias("_end"))
+        .select(*by, "_slice", F.lag("_end").over(over_slices).alias("_end"))
+        .filter(F.col("_end").isNotNull())
+        .select(*by, "_slice", F.col("_end.v").alias(value))
     )
+    window = Window.partitionBy(*by, "_slice").orderBy("_own", slice_by, *order)
+    return _own_rows(with_carry(rows, carry).withColumn(out, F.lag(value).over(window)))
 
 
 def fill_down(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[str], value: str, out: str
+    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """The last non-NULL ``value`` up to and including the row."""
-    keys = [*by, slice_by]
-    before = Window.partitionBy(*by).orderBy(slice_by).rowsBetween(*_BEFORE)
-    known = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_v")))
+    """The last non-NULL ``value`` up to and including the row, in the order ``slice_by``, ``order``."""
+    rows = cut_hot_groups(df, by, slice_by, hot_rows)
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
+    known = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("v")))
     carry = (
-        df.groupBy(*keys)
-        .agg(F.max(known).alias("_last"))
-        .withColumn("_carried", F.last("_last", ignorenulls=True).over(before))
-        .filter(F.col("_carried").isNotNull())
-        .select(*keys, F.col("_carried._v").alias(value))
-    )
-    window = Window.partitionBy(*keys).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        _with_carry(df, carry)
-        .withColumn(out, F.last(value, ignorenulls=True).over(window))
-        .filter("_own = 1")
-        .drop("_own")
+        _slices(rows, by)
+        .agg(F.max(known).alias("_end"))
+        .select(*by, "_slice", F.last("_end", ignorenulls=True).over(before).alias("_end"))
+        .filter(F.col("_end").isNotNull())
+        .select(*by, "_slice", F.col("_end.v").alias(value))
     )
+    window = Window.partitionBy(*by, "_slice").orderBy("_own", slice_by, *order).rowsBetween(Window.unboundedPreceding, 0)
+    return _own_rows(with_carry(rows, carry).withColumn(out, F.last(value, ignorenulls=True).over(window)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.dates import clock, minute_steps, week_start, weekday_from_sunday
 from tallyframe.functions.numbers import percent_text, ratio, round_half_up
 from tallyframe.functions.text import blank_to_null, leading_number, list_ids
+from tallyframe.operators.lookup import named_items, small_map
 from tallyframe.operators.reshape import explode_items
 from tallyframe.operators.running import running_row_number
 
@@ -215,8 +216,16 @@ def _named_lists(lines: DataFrame, toppings: DataFrame) -> DataFrame:
 
 
 def _with_names(lines: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Cleaned lines with the names of their exclusions and extras (NULL without any)."""
+    """Cleaned lines with the names of their exclusions and extras (NULL without any).
+
+    A short topping table is looked up in place, so the lines do not move.
+    """
     clean = clean_customer_orders(lines)
+    lookup = small_map(toppings, "topping_id", "topping_name")
+    if lookup is not None:
+        return clean.withColumn("out_names", named_items(list_ids(F.col("exclusions")), lookup)).withColumn(
+            "in_names", named_items(list_ids(F.col("extras")), lookup)
+        )
     lists = _named_lists(clean, toppings)
     left_out = lists.select(F.col("list_text").alias("exclusions"), F.col("list_names").alias("out_names"))
     added = lists.select(F.col("list_text").alias("extras"), F.col("list_names").alias("in_names"))
@@ -238,41 +247,53 @@ def _times(item: Column, array: Column) -> Column:
     return F.size(array) - F.size(F.array_remove(array, item))
 
 
+def _list_text(on_it: Column, off_it: Column) -> Column:
+    """``2xBacon, Beef``: names by alphabet with their amount if it is more than one."""
+    counted = F.transform(
+        F.array_sort(F.array_distinct(on_it)),
+        lambda name: F.struct(name.alias("name"), (_times(name, on_it) - _times(name, off_it)).alias("n")),
+    )
+    items = F.transform(
+        F.filter(counted, lambda c: c["n"] > 0),
+        lambda c: F.when(c["n"] > 1, F.concat(c["n"].cast("string"), F.lit("x"), c["name"])).otherwise(c["name"]),
+    )
+    return F.array_join(items, ", ")
+
+
 def ingredient_lists(lines: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """``Name: 2xBacon, Beef`` for every line, numbered within its order.
 
-    Recipe and list names are looked up once per pizza and per distinct list;
-    on the line itself only short arrays are left to combine. ``line_slice``
-    and ``line_sort`` give the lines of an order their order.
+    Recipes are named and written out once per pizza; only lines with changes
+    make a text of their own. ``line_slice`` and ``line_sort`` give the lines
+    of an order their order.
     """
+    none = F.array().cast("array<string>")
     menu = (
         explode_items(recipes, list_ids(F.col("toppings")), "topping_id")
         .join(toppings, "topping_id")
         .groupBy("pizza_id")
         .agg(F.collect_list("topping_name").alias("recipe"))
+        .withColumn("standard", _list_text(F.col("recipe"), none))
         .join(names, "pizza_id")
     )
     numbered = running_row_number(
         clean_customer_orders(lines), ["order_id"], "line_slice", [F.col("line_sort")], "pizza_number_within_order"
     )
-    none = F.array().cast("array<string>")
-    on_it = F.concat("recipe", F.coalesce("in_names", none))
     rows = (
         _with_names(numbered.drop("line_slice", "line_sort"), toppings)
         .join(menu, "pizza_id")
-        .withColumn("on_it", on_it)
+        .withColumn("on_it", F.concat("recipe", F.coalesce("in_names", none)))
         .withColumn("off_it", F.coalesce("out_names", none))
     )
-
-    def counted(name: Column) -> Column:
-        amount = _times(name, F.col("on_it")) - _times(name, F.col("off_it"))
-        many = F.concat(amount.cast("string"), F.lit("x"), name)
-        return F.when(amount > 1, many).when(amount == 1, name)
-
-    items = F.transform(F.array_sort(F.array_distinct("on_it")), counted)
-    # array_join leaves out NULLs: toppings that were taken off.
-    text = F.concat("pizza_name", F.lit(": "), F.array_join(items, ", "))
-    return rows.select("order_id", "customer_id", "pizza_id", "pizza_number_within_order", text.alias("ingredient_list"))
+    unchanged = F.col("exclusions").isNull() & F.col("extras").isNull()
+    text = F.when(unchanged, F.col("standard")).otherwise(_list_text(F.col("on_it"), F.col("off_it")))
+    return rows.select(
+        "order_id",
+        "customer_id",
+        "pizza_id",
+        "pizza_number_within_order",
+        F.concat("pizza_name", F.lit(": "), text).alias("ingredient_list"),
+    )
 
 
 _SHAPE = ["pizza_id", "exclusions", "extras"]
