@@ -27,7 +27,7 @@ SHAPES: dict[str, str] = {
         (10000000 + o_custkey)::VARCHAR AS account_number
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "swift": "SELECT r_name AS bank, lpad(r_regionkey::VARCHAR, 2, '0') AS check_digits, left(r_name, 4) AS swift_code FROM region",
-    "goals": """SELECT * FROM (VALUES ('Online', 1, 16000000), ('Online', 2, 15500000), ('Online', 3, 15000000), ('Online', 4, 15200000),
+    "goals": """SELECT online_or_inperson, quarter, target::BIGINT AS target FROM (VALUES ('Online', 1, 16000000), ('Online', 2, 15500000), ('Online', 3, 15000000), ('Online', 4, 15200000),
         ('In-Person', 1, 15000000), ('In-Person', 2, NULL), ('In-Person', 3, 14800000), ('In-Person', 4, 15100000))
         AS v(online_or_inperson, quarter, target) WHERE target IS NOT NULL""",
     "facts": f"""SELECT c_custkey AS id, c_mktsegment AS ethnicity, n_name AS account_type,

@@ -89,11 +89,12 @@ def monthly_active_customers(transactions: DataFrame) -> DataFrame:
     """Customers per month with more than one deposit and at least one purchase or withdrawal."""
     kind = F.col("txn_type")
     active = (
-        transactions.groupBy("customer_id", year_month(F.col("txn_date")).alias("yearmonth"))
+        transactions.groupBy("customer_id", F.trunc("txn_date", "month").alias("month"))
         .agg(F.count_if(kind == "deposit").alias("ins"), F.count_if(kind != "deposit").alias("outs"))
         .filter("ins > 1 AND outs >= 1")
     )
-    return active.groupBy("yearmonth").agg(F.count("*").alias("customers"))
+    counts = active.groupBy("month").agg(F.count("*").alias("customers"))
+    return counts.select(year_month(F.col("month")).alias("yearmonth"), "customers")
 
 
 def _signed() -> Column:

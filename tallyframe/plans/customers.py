@@ -21,7 +21,7 @@ PRICE_LIMIT = 100000.0
 
 def platform_ratings(survey: DataFrame) -> DataFrame:
     """One row per customer and question, a column per platform; overall ratings are left out."""
-    questions = [c for c in survey.columns if c != "customer_id"]
+    questions = [c for c in survey.columns if c != "customer_id" and not c.endswith("overall_rating")]
     long = unpivot_non_null(survey, ["customer_id"], questions, "question", "rating")
     pattern = "^(" + "|".join(PLATFORMS) + ")_(.*)$"
     named = long.select(
@@ -29,7 +29,7 @@ def platform_ratings(survey: DataFrame) -> DataFrame:
         F.lower(F.replace(F.regexp_extract("question", pattern, 2), F.lit("_"), F.lit(" "))).alias("category"),
         F.regexp_extract("question", pattern, 1).alias("platform"),
         "rating",
-    ).filter("category <> 'overall rating'")
+    )
     return pivot_named(named, ["customer_id", "category"], "platform", "rating", {p: p for p in PLATFORMS})
 
 

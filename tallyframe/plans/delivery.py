@@ -1,4 +1,8 @@
-"""Food deliveries: cleaning, volumes, times, ingredients, revenue."""
+"""Food deliveries: cleaning, volumes, times, ingredients, revenue.
+
+``lines`` hold one row per ordered pizza, ``headers`` the customer and time of
+each order (``order_headers`` takes them from a table that repeats them).
+"""
 
 from __future__ import annotations
 
@@ -40,11 +44,21 @@ def delivered(runner_orders: DataFrame) -> DataFrame:
     return clean_runner_orders(runner_orders).filter("cancellation IS NULL")
 
 
+def order_headers(customer_orders: DataFrame) -> DataFrame:
+    """Customer and time of each order, from a table that repeats them on every line."""
+    return customer_orders.select("order_id", "customer_id", "order_time").distinct()
+
+
 def _delivered_lines(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """Order lines of delivered orders; the order number is unique in the delivery log."""
     return clean_customer_orders(lines).join(delivered(runner_orders).select("order_id"), "order_id")
 
 
+def _order_sizes(lines: DataFrame) -> DataFrame:
+    """Lines are counted per order before any join, so an order with very many lines is one row."""
+    return lines.groupBy("order_id").agg(F.count("*").alias("pizzas_ordered"))
+
+
 # --- volumes -----------------------------------------------------------------
 
 def items_total(lines: DataFrame) -> DataFrame:
@@ -63,23 +77,24 @@ def delivered_by_type(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
     return _delivered_lines(lines, runner_orders).groupBy("pizza_id").agg(F.count("*").alias("nr_delivered"))
 
 
-def delivered_by_customer_type(lines: DataFrame, runner_orders: DataFrame, names: DataFrame) -> DataFrame:
-    rows = _delivered_lines(lines, runner_orders).join(names, "pizza_id")
+def delivered_by_customer_type(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame, names: DataFrame) -> DataFrame:
+    rows = _delivered_lines(lines, runner_orders).join(headers, "order_id").join(names, "pizza_id")
     return rows.groupBy("customer_id", "pizza_name").agg(F.count("*").alias("nr_delivered"))
 
 
 def largest_order(lines: DataFrame) -> DataFrame:
     """The order with the most lines; the smallest number among equals."""
-    sizes = lines.groupBy("order_id").agg(F.count("*").alias("pizzas_ordered"))
-    return sizes.orderBy(F.col("pizzas_ordered").desc(), "order_id").limit(1)
+    return _order_sizes(lines).orderBy(F.col("pizzas_ordered").desc(), "order_id").limit(1)
 
 
-def changed_unchanged(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
+def changed_unchanged(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """A pizza is changed if it has extras or exclusions."""
     changed = F.col("extras").isNotNull() | F.col("exclusions").isNotNull()
-    return _delivered_lines(lines, runner_orders).groupBy("customer_id").agg(
+    per_order = clean_customer_orders(lines).groupBy("order_id").agg(
         F.count_if(changed).alias("changed"), F.count_if(~changed).alias("not_changed")
     )
+    rows = per_order.join(delivered(runner_orders).select("order_id"), "order_id").join(headers, "order_id")
+    return rows.groupBy("customer_id").agg(F.sum("changed").alias("changed"), F.sum("not_changed").alias("not_changed"))
 
 
 def both_changes(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
@@ -87,15 +102,18 @@ def both_changes(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
     return _delivered_lines(lines, runner_orders).agg(F.count_if(both).alias("exclusions_and_extras"))
 
 
-def volume_by_hour(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(F.hour("order_time").alias("hour")).agg(F.count("*").alias("pizzas_ordered")).orderBy("hour")
+def volume_by_hour(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    rows = _order_sizes(lines).join(headers, "order_id")
+    return rows.groupBy(F.hour("order_time").alias("hour")).agg(F.sum("pizzas_ordered").alias("pizzas_ordered")).orderBy("hour")
 
 
-def volume_by_weekday(lines: DataFrame) -> DataFrame:
+def volume_by_weekday(lines: DataFrame, headers: DataFrame) -> DataFrame:
     day = F.to_date("order_time")
     return (
-        lines.groupBy(weekday_from_sunday(day).alias("dow"), F.dayname(day).alias("day"))
-        .agg(F.count("*").alias("pizzas_ordered"))
+        _order_sizes(lines)
+        .join(headers, "order_id")
+        .groupBy(weekday_from_sunday(day).alias("dow"), F.dayname(day).alias("day"))
+        .agg(F.sum("pizzas_ordered").alias("pizzas_ordered"))
         .orderBy("dow")
     )
 
@@ -108,30 +126,30 @@ def signups_by_week(runners: DataFrame, shift: int = 4) -> DataFrame:
     return runners.groupBy(week.alias("start_of_week")).agg(F.count("*").alias("runner_signups"))
 
 
-def _timed_orders(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
+def _timed_orders(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """One row per delivered order: runner, size and minutes from order to pick-up."""
-    orders = lines.groupBy("order_id").agg(F.count("*").alias("pizzas_ordered"), F.min("order_time").alias("order_time"))
     picked = delivered(runner_orders).select("order_id", "runner_id", "pickup_time")
-    return orders.join(picked, "order_id").withColumn("minutes", minute_steps(F.col("order_time"), F.col("pickup_time")))
+    orders = _order_sizes(lines).join(headers, "order_id").join(picked, "order_id")
+    return orders.withColumn("minutes", minute_steps(F.col("order_time"), F.col("pickup_time")))
 
 
-def avg_pickup_minutes(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
+def avg_pickup_minutes(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """Averaged over orders, not over their lines."""
-    return _timed_orders(lines, runner_orders).groupBy("runner_id").agg(
+    return _timed_orders(lines, headers, runner_orders).groupBy("runner_id").agg(
         round_half_up(F.avg("minutes"), 2).alias("avg_pick_up_time")
     )
 
 
-def prep_time_by_size(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
-    return _timed_orders(lines, runner_orders).groupBy("pizzas_ordered").agg(
+def prep_time_by_size(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame) -> DataFrame:
+    return _timed_orders(lines, headers, runner_orders).groupBy("pizzas_ordered").agg(
         round_half_up(F.avg("minutes"), 2).alias("avg_preparation_time")
     )
 
 
-def avg_distance_by_customer(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
+def avg_distance_by_customer(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame) -> DataFrame:
     """Each order once. Cancelled orders have no distance; orders without lines have no customer."""
     trips = clean_runner_orders(runner_orders).select("order_id", leading_number(F.col("distance")).cast("decimal(10,2)").alias("km"))
-    owners = lines.select("order_id", "customer_id").distinct()
+    owners = lines.select("order_id").distinct().join(headers.select("order_id", "customer_id"), "order_id")
     mean = F.sum("km").cast("double") / F.count("km")
     return trips.join(owners, "order_id", "left").groupBy("customer_id").agg(
         round_half_up(F.when(F.count("km") > 0, mean), 6).alias("avg_distance_travelled")
@@ -200,41 +218,33 @@ def top_exclusion(lines: DataFrame, toppings: DataFrame) -> DataFrame:
     return _top_topping(lines, toppings, "exclusions", "times_excluded")
 
 
-def _named_lists(lines: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Every distinct list text with the sorted names behind it.
+def _names_of(rows: DataFrame, column: str, toppings: DataFrame, out: str) -> DataFrame:
+    """``out``: the sorted topping names of a list column, NULL without any.
 
-    Lists repeat far more often than they differ, so naming the distinct texts
-    and joining them back needs no number per line and no regrouping of lines.
+    A short topping table is looked up in place, so the rows do not move. With
+    a long one every distinct list text is named once and joined back.
     """
-    texts = lines.select(F.explode(F.array("exclusions", "extras")).alias("list_text")).filter("list_text IS NOT NULL").distinct()
-    return (
+    lookup = small_map(toppings, "topping_id", "topping_name")
+    if lookup is not None:
+        return rows.withColumn(out, named_items(list_ids(F.col(column)), lookup))
+    texts = rows.select(F.col(column).alias("list_text")).filter("list_text IS NOT NULL").distinct()
+    named = (
         explode_items(texts, list_ids(F.col("list_text")), "topping_id")
         .join(toppings, "topping_id")
-        .groupBy("list_text")
-        .agg(F.array_sort(F.collect_list("topping_name")).alias("list_names"))
+        .groupBy(F.col("list_text").alias(column))
+        .agg(F.array_sort(F.collect_list("topping_name")).alias(out))
     )
+    return rows.join(named, column, "left")
 
 
 def _with_names(lines: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Cleaned lines with the names of their exclusions and extras (NULL without any).
+    """Cleaned lines with the names of their exclusions and extras."""
+    return _names_of(_names_of(clean_customer_orders(lines), "exclusions", toppings, "out_names"), "extras", toppings, "in_names")
 
-    A short topping table is looked up in place, so the lines do not move.
-    """
-    clean = clean_customer_orders(lines)
-    lookup = small_map(toppings, "topping_id", "topping_name")
-    if lookup is not None:
-        return clean.withColumn("out_names", named_items(list_ids(F.col("exclusions")), lookup)).withColumn(
-            "in_names", named_items(list_ids(F.col("extras")), lookup)
-        )
-    lists = _named_lists(clean, toppings)
-    left_out = lists.select(F.col("list_text").alias("exclusions"), F.col("list_names").alias("out_names"))
-    added = lists.select(F.col("list_text").alias("extras"), F.col("list_names").alias("in_names"))
-    return clean.join(left_out, "exclusions", "left").join(added, "extras", "left")
 
-
-def order_item_labels(lines: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+def order_item_labels(lines: DataFrame, headers: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """``Name``, ``Name - Exclude A, B``, ``Name - Extra C`` or both, for every line."""
-    rows = _with_names(lines, toppings).join(names, "pizza_id", "left")
+    rows = _with_names(lines, toppings).join(names, "pizza_id", "left").join(headers, "order_id")
     label = F.concat(
         "pizza_name",
         F.coalesce(F.concat(F.lit(" - Exclude "), F.array_join("out_names", ", ")), F.lit("")),
@@ -260,7 +270,7 @@ def _list_text(on_it: Column, off_it: Column) -> Column:
     return F.array_join(items, ", ")
 
 
-def ingredient_lists(lines: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
+def ingredient_lists(lines: DataFrame, headers: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """``Name: 2xBacon, Beef`` for every line, numbered within its order.
 
     Recipes are named and written out once per pizza; only lines with changes
@@ -280,7 +290,7 @@ def ingredient_lists(lines: DataFrame, names: DataFrame, recipes: DataFrame, top
         clean_customer_orders(lines), ["order_id"], "line_slice", [F.col("line_sort")], "pizza_number_within_order"
     )
     rows = (
-        _with_names(numbered.drop("line_slice", "line_sort"), toppings)
+        _with_names(numbered.drop("line_slice", "line_sort").join(headers, "order_id"), toppings)
         .join(menu, "pizza_id")
         .withColumn("on_it", F.concat("recipe", F.coalesce("in_names", none)))
         .withColumn("off_it", F.coalesce("out_names", none))
@@ -345,21 +355,17 @@ def revenue_fixed_price(lines: DataFrame, runner_orders: DataFrame, names: DataF
 def revenue_with_extras(lines: DataFrame, runner_orders: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """Fixed prices plus one per extra; no extras at all count as 0."""
     sold = _delivered_lines(lines, runner_orders).groupBy("pizza_id", "extras").agg(F.count("*").alias("n")).join(names, "pizza_id")
-    zero = F.lit(0).cast("long")
-    base = sold.select((F.col("n") * _price(F.col("pizza_name"))).alias("pizza"), zero.alias("extra"))
-    extra = explode_items(sold, list_ids(F.col("extras")), "topping_id").join(toppings, "topping_id").select(
-        zero.alias("pizza"), (F.col("n") * EXTRA_CHARGE).alias("extra")
-    )
-    return (
-        base.unionByName(extra)
-        .agg(F.coalesce(F.sum("pizza"), zero).alias("pizza_revenue"), F.coalesce(F.sum("extra"), zero).alias("extras_revenue"))
-        .withColumn("total_revenue", F.col("pizza_revenue") + F.col("extras_revenue"))
-    )
+    rows = _names_of(sold, "extras", toppings, "in_names")
+    extras = F.when(F.col("in_names").isNull(), 0).otherwise(F.size("in_names"))
+    return rows.agg(
+        F.sum(F.col("n") * _price(F.col("pizza_name"))).alias("pizza_revenue"),
+        F.sum(F.col("n") * extras * EXTRA_CHARGE).alias("extras_revenue"),
+    ).withColumn("total_revenue", F.col("pizza_revenue") + F.col("extras_revenue"))
 
 
-def delivery_summary(lines: DataFrame, runner_orders: DataFrame, ratings: DataFrame) -> DataFrame:
+def delivery_summary(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame, ratings: DataFrame) -> DataFrame:
     """One row per rated delivery; ratings belong to orders."""
-    sizes = lines.groupBy("order_id", "customer_id", "order_time").agg(F.count("*").alias("total_number_of_pizzas"))
+    sizes = _order_sizes(lines).withColumnRenamed("pizzas_ordered", "total_number_of_pizzas").join(headers, "order_id")
     rows = delivered(runner_orders).join(ratings, "order_id").join(sizes, "order_id", "left")
     minutes, km = leading_number(F.col("duration")), leading_number(F.col("distance"))
     return rows.select(

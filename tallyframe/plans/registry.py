@@ -28,7 +28,7 @@ def _exact(query: Query) -> Query:
 
 
 def _lines(*columns: str) -> Query:
-    return lambda s, d: a.customer_orders(s, d, *columns)
+    return lambda s, d: a.order_lines(s, d, *columns)
 
 
 def _sales_menu(f: Callable) -> Query:
@@ -118,20 +118,24 @@ DELIVERY: dict[str, Query] = {
     "success_by_runner": lambda s, d: delivery.success_by_runner(a.runner_orders(s, d)),
     "delivered_by_type": lambda s, d: delivery.delivered_by_type(_lines("order_id", "pizza_id")(s, d), a.runner_orders(s, d)),
     "delivered_by_customer_type": lambda s, d: delivery.delivered_by_customer_type(
-        _lines("order_id", "pizza_id", "customer_id")(s, d), a.runner_orders(s, d), a.pizza_names(s, d)
+        _lines("order_id", "pizza_id")(s, d), a.order_headers(s, d), a.runner_orders(s, d), a.pizza_names(s, d)
     ),
     "largest_order": lambda s, d: delivery.largest_order(_lines("order_id")(s, d)),
     "changed_unchanged": lambda s, d: delivery.changed_unchanged(
-        _lines("order_id", "customer_id", "exclusions", "extras")(s, d), a.runner_orders(s, d)
+        _lines("order_id", "exclusions", "extras")(s, d), a.order_headers(s, d), a.runner_orders(s, d)
     ),
     "both_changes": lambda s, d: delivery.both_changes(_lines("order_id", "exclusions", "extras")(s, d), a.runner_orders(s, d)),
-    "volume_by_hour": lambda s, d: delivery.volume_by_hour(_lines("order_id", "order_time")(s, d)),
-    "volume_by_weekday": lambda s, d: delivery.volume_by_weekday(_lines("order_id", "order_time")(s, d)),
+    "volume_by_hour": lambda s, d: delivery.volume_by_hour(_lines("order_id")(s, d), a.order_headers(s, d)),
+    "volume_by_weekday": lambda s, d: delivery.volume_by_weekday(_lines("order_id")(s, d), a.order_headers(s, d)),
     "signups_by_shifted_week": lambda s, d: delivery.signups_by_week(a.runners(s, d)),
-    "avg_pickup_minutes": lambda s, d: delivery.avg_pickup_minutes(_lines("order_id", "order_time")(s, d), a.runner_orders(s, d)),
-    "prep_time_by_size": lambda s, d: delivery.prep_time_by_size(_lines("order_id", "order_time")(s, d), a.runner_orders(s, d)),
+    "avg_pickup_minutes": lambda s, d: delivery.avg_pickup_minutes(
+        _lines("order_id")(s, d), a.order_headers(s, d), a.runner_orders(s, d)
+    ),
+    "prep_time_by_size": lambda s, d: delivery.prep_time_by_size(
+        _lines("order_id")(s, d), a.order_headers(s, d), a.runner_orders(s, d)
+    ),
     "avg_distance_by_customer": lambda s, d: delivery.avg_distance_by_customer(
-        _lines("order_id", "customer_id")(s, d), a.runner_orders(s, d)
+        _lines("order_id")(s, d), a.order_headers(s, d), a.runner_orders(s, d)
     ),
     "duration_spread": lambda s, d: delivery.duration_spread(a.runner_orders(s, d)),
     "speed_per_delivery": lambda s, d: delivery.speed_per_delivery(a.runner_orders(s, d)),
@@ -142,10 +146,11 @@ DELIVERY: dict[str, Query] = {
     "top_extra": lambda s, d: delivery.top_extra(_lines("extras")(s, d), a.pizza_toppings(s, d)),
     "top_exclusion": lambda s, d: delivery.top_exclusion(_lines("exclusions")(s, d), a.pizza_toppings(s, d)),
     "order_item_label": lambda s, d: delivery.order_item_labels(
-        _lines("order_id", "customer_id", "pizza_id", "exclusions", "extras")(s, d), a.pizza_names(s, d), a.pizza_toppings(s, d)
+        _lines("order_id", "pizza_id", "exclusions", "extras")(s, d), a.order_headers(s, d), a.pizza_names(s, d), a.pizza_toppings(s, d)
     ),
     "ingredient_list": lambda s, d: delivery.ingredient_lists(
-        _lines("order_id", "customer_id", "pizza_id", "exclusions", "extras", "line_slice", "line_sort")(s, d),
+        _lines("order_id", "pizza_id", "exclusions", "extras", "line_slice", "line_sort")(s, d),
+        a.order_headers(s, d),
         a.pizza_names(s, d),
         a.pizza_recipes(s, d),
         a.pizza_toppings(s, d),
@@ -160,7 +165,7 @@ DELIVERY: dict[str, Query] = {
         _lines("order_id", "pizza_id", "extras")(s, d), a.runner_orders(s, d), a.pizza_names(s, d), a.pizza_toppings(s, d)
     ),
     "delivery_summary": lambda s, d: delivery.delivery_summary(
-        _lines("order_id", "customer_id", "order_time")(s, d), a.runner_orders(s, d), a.order_ratings(s, d)
+        _lines("order_id")(s, d), a.order_headers(s, d), a.runner_orders(s, d), a.order_ratings(s, d)
     ),
     "profit_after_costs": lambda s, d: delivery.profit_after_costs(
         _lines("order_id", "pizza_id")(s, d), a.runner_orders(s, d), a.pizza_names(s, d)

@@ -92,14 +92,16 @@ def monthly_rank_enrichment(transactions: DataFrame) -> DataFrame:
 
     Ranks and averages run on one row per bank and month, so the windows are small.
     """
-    day = F.col("transaction_date")
-    summary = transactions.groupBy(
-        F.date_format(day, "MMMM").alias("transaction_month"),
-        F.month(day).alias("sortmonth"),
-        prefix_before(F.col("transaction_code"), "-").alias("bank"),
-    ).agg(F.sum("value").alias("value"))
+    month_name = F.date_format(F.make_date(F.lit(2000), F.col("sortmonth"), F.lit(1)), "MMMM")
+    summary = (
+        transactions.groupBy(
+            F.month("transaction_date").alias("sortmonth"), prefix_before(F.col("transaction_code"), "-").alias("bank")
+        )
+        .agg(F.sum("value").alias("value"))
+        .withColumn("transaction_month", month_name)
+    )
     ranked = summary.withColumn(
-        "transaction_rank", F.rank().over(Window.partitionBy("transaction_month").orderBy(F.col("value").desc()))
+        "transaction_rank", F.rank().over(Window.partitionBy("sortmonth").orderBy(F.col("value").desc()))
     )
 
     def mean(name: str, per: str) -> Column:

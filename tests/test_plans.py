@@ -44,11 +44,13 @@ LINES = [
 @pytest.fixture(scope="module")
 def shop(spark):
     lines = [(*line, 0, i) for i, line in enumerate(LINES)]
+    customer_orders = spark.createDataFrame(
+        lines,
+        "order_id int, customer_id int, pizza_id int, exclusions string, extras string, order_time timestamp_ntz, line_slice int, line_sort int",
+    )
     return {
-        "lines": spark.createDataFrame(
-            lines,
-            "order_id int, customer_id int, pizza_id int, exclusions string, extras string, order_time timestamp_ntz, line_slice int, line_sort int",
-        ),
+        "lines": customer_orders.drop("customer_id", "order_time"),
+        "headers": delivery.order_headers(customer_orders),
         "runs": spark.createDataFrame(
             RUNS, "order_id int, runner_id int, pickup_time string, distance string, duration string, cancellation string"
         ),
@@ -72,7 +74,7 @@ def naming(request, monkeypatch):
 
 
 def test_labels(shop, naming):
-    out = sorted(r.label for r in delivery.order_item_labels(shop["lines"], shop["names"], shop["toppings"]).collect())
+    out = sorted(r.label for r in delivery.order_item_labels(shop["lines"], shop["headers"], shop["names"], shop["toppings"]).collect())
     assert out == [
         "Meatlovers",
         "Meatlovers - Exclude Bacon, Cheese - Extra Mushrooms, Peppers",
@@ -84,7 +86,7 @@ def test_labels(shop, naming):
 
 
 def test_ingredient_lists(shop, naming):
-    out = delivery.ingredient_lists(shop["lines"], shop["names"], shop["recipes"], shop["toppings"])
+    out = delivery.ingredient_lists(shop["lines"], shop["headers"], shop["names"], shop["recipes"], shop["toppings"])
     assert [(r.order_id, r.pizza_number_within_order, r.ingredient_list) for r in out.orderBy("order_id", "pizza_number_within_order").collect()] == [
         (1, 1, "Meatlovers: Bacon, Beef, Cheese"),
         (1, 2, "Meatlovers: Bacon, Beef"),
@@ -102,13 +104,13 @@ def test_ingredient_totals_of_delivered(shop):
 
 
 def test_changes_count_exclusions_too(shop):
-    assert rows(delivery.changed_unchanged(shop["lines"], shop["runs"])) == [(101, 2, 1), (103, 2, 0)]
+    assert rows(delivery.changed_unchanged(shop["lines"], shop["headers"], shop["runs"])) == [(101, 2, 1), (103, 2, 0)]
     assert rows(delivery.both_changes(shop["lines"], shop["runs"])) == [(1,)]
 
 
 def test_times_are_per_order(shop):
-    assert rows(delivery.avg_pickup_minutes(shop["lines"], shop["runs"])) == [(1, 10.0), (2, 30.0)]
-    assert rows(delivery.prep_time_by_size(shop["lines"], shop["runs"])) == [(1, 10.0), (2, 20.0)]
+    assert rows(delivery.avg_pickup_minutes(shop["lines"], shop["headers"], shop["runs"])) == [(1, 10.0), (2, 30.0)]
+    assert rows(delivery.prep_time_by_size(shop["lines"], shop["headers"], shop["runs"])) == [(1, 10.0), (2, 20.0)]
     assert rows(delivery.duration_spread(shop["runs"])) == [(20.0, 40.0, 20.0)]
 
 
@@ -133,7 +135,7 @@ def test_no_extras_is_zero(shop):
 
 def test_summary_joins_ratings_by_order(shop, spark):
     ratings = spark.createDataFrame([(1, 2), (2, 1), (4, 3)], "order_id int, rating int")
-    out = {r.order_id: r for r in delivery.delivery_summary(shop["lines"], shop["runs"], ratings).collect()}
+    out = {r.order_id: r for r in delivery.delivery_summary(shop["lines"], shop["headers"], shop["runs"], ratings).collect()}
     assert out[1].rating == 2 and out[1].order_time == "18:05:02" and out[1].total_number_of_pizzas == 2
     assert out[2].time_between_order_and_pickup == 10 and out[2].speed_in_kmh == 40.2
 
