@@ -4,9 +4,9 @@ Points and sites are both summarised in square degree cells on four levels, a
 cell holding eight by eight cells of the next level. From the coarsest level
 down, each cell with points keeps only the cells with sites that may hold the
 nearest site of any of its points: a real site in one of them gives an upper
-bound, the gap between two cells a lower bound. All this works on cells; only at the end
-do the points meet the sites in the few cells left for their own cell, which
-are compared exactly.
+bound, the gap between two cells a lower bound. All this works on cells; only
+at the end do the points meet the sites in the few cells left for their own
+cell, which are compared exactly.
 """
 
 from __future__ import annotations
