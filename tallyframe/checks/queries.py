@@ -338,6 +338,20 @@ _ALL |= {
         SELECT *, lag(plan_name) OVER (PARTITION BY customer_id ORDER BY start_date, change_id) AS old_plan FROM subs WHERE year(start_date) = 2024)
         WHERE old_plan = 'pro monthly' AND plan_name = 'basic monthly'""",
     ),
+    "payment_schedule": over(
+        "subs",
+        """SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY payment_date) AS payment_order FROM (
+        SELECT customer_id, plan_id, plan_name, payment_date, (CASE plan_id WHEN 1 THEN 9.90 WHEN 2 THEN 19.90 ELSE 199.00 END
+          - CASE WHEN old_plan = 'basic monthly' AND plan_id > 1 AND old_start < start_date AND payment_date = first THEN 9.90 ELSE 0 END)::DOUBLE AS amount
+        FROM (SELECT *, (first + to_months(unnest(range(0, 13, CASE plan_id WHEN 3 THEN 12 ELSE 1 END))::INT))::DATE AS payment_date FROM (
+          SELECT *, CASE WHEN plan_id = 3 AND old_plan = 'pro monthly'
+            THEN (SELECT min((old_start + to_months(k::INT))::DATE) FROM range(0, 14) AS r(k) WHERE (old_start + to_months(k::INT))::DATE >= start_date)
+            ELSE start_date END AS first
+          FROM (SELECT *, lag(plan_name) OVER w AS old_plan, lag(start_date) OVER w AS old_start, lead(start_date) OVER w AS until
+            FROM subs WINDOW w AS (PARTITION BY customer_id ORDER BY start_date, change_id))
+          WHERE plan_id IN (1, 2, 3)))
+        WHERE year(payment_date) = 2024 AND (until IS NULL OR payment_date < until))""",
+    ),
 }
 
 _ALL |= {

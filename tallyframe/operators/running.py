@@ -92,19 +92,27 @@ def running_row_number(
 
 
 def previous_value(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    by: Sequence[str],
+    slice_by: str,
+    order: Sequence[str],
+    value: str,
+    out: str,
+    hot_rows: int = HOT_ROWS,
+    ahead: bool = False,
 ) -> DataFrame:
-    """``value`` of the row before, in the order ``slice_by``, ``order`` (unique)."""
+    """``value`` of the row before, in the order ``slice_by``, ``order`` (unique); of the row after with ``ahead``."""
     rows = cut_hot_groups(df, by, slice_by, hot_rows)
-    over_slices = Window.partitionBy(*by).orderBy("_slice")
+    along, nearest = (F.desc, F.min) if ahead else (F.asc, F.max)
+    over_slices = Window.partitionBy(*by).orderBy(along("_slice"))
     carry = (
         _slices(rows, by)
-        .agg(F.max(F.struct(*order, F.col(value).alias("v"))).alias("_end"))
+        .agg(nearest(F.struct(*order, F.col(value).alias("v"))).alias("_end"))
         .select(*by, "_slice", F.lag("_end").over(over_slices).alias("_end"))
         .filter(F.col("_end").isNotNull())
         .select(*by, "_slice", F.col("_end.v").alias(value))
     )
-    window = Window.partitionBy(*by, "_slice").orderBy("_own", slice_by, *order)
+    window = Window.partitionBy(*by, "_slice").orderBy("_own", along(slice_by), *[along(c) for c in order])
     return _own_rows(with_carry(rows, carry).withColumn(out, F.lag(value).over(window)))
 
 

@@ -186,6 +186,7 @@ SUBSCRIPTION: dict[str, Query] = {
     "avg_days_to_annual": lambda s, d: subscription.avg_days_to_annual(a.subscriptions(s, d)),
     "days_to_annual_histogram": lambda s, d: subscription.days_to_annual_histogram(a.subscriptions(s, d)),
     "downgrades": _changes_plans(subscription.downgrades, 2024),
+    "payment_schedule": _changes_plans(subscription.payment_schedule, 2024),
 }
 
 ACCOUNTS: dict[str, Query] = {

@@ -14,7 +14,7 @@ from tallyframe.functions.dates import month_start
 from tallyframe.functions.numbers import bin_label, percent, round_half_up
 from tallyframe.operators.ranking import top_rows
 from tallyframe.operators.reshape import pivot_named
-from tallyframe.operators.running import previous_value
+from tallyframe.operators.running import previous_value, running_row_number
 
 FREE = ("trial", "churn")
 _IN_ORDER = ("start_date", "change_id")
@@ -130,3 +130,50 @@ def downgrades(subscriptions: DataFrame, plans: DataFrame, year: int, old: str =
         .join(after.filter(F.col("new_plan") == new), "plan_id")
         .select("customer_id", "old_plan", "new_plan")
     )
+
+
+def payment_schedule(subscriptions: DataFrame, plans: DataFrame, year: int) -> DataFrame:
+    """All payments of one year.
+
+    A monthly plan is paid on its start date and the same day of every month
+    until the next change. An upgrade from basic is cheaper by what was paid
+    for basic. Going from pro monthly to pro annual takes effect at the end of
+    the running month. Nothing is paid after a churn or for a plan that is
+    replaced before its first payment.
+    """
+    steps = subscriptions.withColumn("_at", F.struct("start_date", "plan_id"))
+    steps = previous_value(steps, ["customer_id"], "start_date", ["change_id"], "_at", "before")
+    steps = previous_value(steps, ["customer_id"], "start_date", ["change_id"], "start_date", "until", ahead=True)
+    priced = plans.filter(~F.col("plan_name").isin(*FREE))
+    old = plans.select(F.col("plan_id").alias("old_id"), F.col("plan_name").alias("old_name"), F.col("price").alias("old_price"))
+    paid = (
+        steps.join(priced, "plan_id")
+        .withColumn("old_id", F.col("before.plan_id"))
+        .join(old, "old_id", "left")
+        .withColumn("old_start", F.col("before.start_date"))
+    )
+
+    annual = F.col("plan_name") == "pro annual"
+    months = (F.year("start_date") - F.year("old_start")) * 12 + F.month("start_date") - F.month("old_start")
+    this_month, next_month = F.add_months("old_start", months), F.add_months("old_start", months + 1)
+    end_of_period = F.when(this_month >= F.col("start_date"), this_month).otherwise(next_month)
+    delayed = annual & (F.col("old_name") == "pro monthly")
+    first = F.when(delayed, end_of_period).otherwise(F.col("start_date"))
+    last = F.least(F.date_sub("until", 1), F.lit(date(year, 12, 31)))  # least ignores a missing next change
+    every = F.when(annual, F.expr("interval 12 month")).otherwise(F.expr("interval 1 month"))
+    upgraded = (F.col("old_name") == "basic monthly") & F.col("plan_name").startswith("pro") & (F.col("old_start") < F.col("start_date"))
+
+    payments = (
+        paid.withColumn("first", first)
+        .withColumn("last", last)
+        .filter("first <= last")
+        .withColumn("payment_date", F.explode(F.sequence("first", "last", every)))
+        .filter(F.year("payment_date") == year)
+        .withColumn(
+            "amount",
+            F.col("price") - F.when(upgraded & (F.col("payment_date") == F.col("first")), F.col("old_price")).otherwise(F.lit(0)),
+        )
+        .select("customer_id", "plan_id", "plan_name", "payment_date", F.col("amount").cast("decimal(18,2)").alias("amount"))
+    )
+    # A customer has one plan at a time, so there is at most one payment a day.
+    return running_row_number(payments, ["customer_id"], "payment_date", [F.col("plan_id")], "payment_order")

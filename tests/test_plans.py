@@ -207,6 +207,43 @@ def test_churn_rate(subs, plans):
     assert rows(subscription.churn_rate(subs, plans)) == [(5, 1, 20.0)]
 
 
+def test_payment_schedule(spark):
+    journeys = {
+        1: [(0, "08-01"), (1, "08-08")],
+        2: [(0, "09-20"), (3, "09-27")],
+        13: [(0, "12-15"), (1, "12-22")],
+        15: [(0, "03-17"), (2, "03-24"), (4, "04-29")],
+        16: [(0, "05-31"), (1, "06-07"), (3, "10-21")],
+        18: [(0, "07-06"), (2, "07-13")],
+        19: [(0, "06-22"), (2, "06-29"), (3, "08-29")],
+        # Month ends, an annual plan that starts at the end of the period, one that is replaced before.
+        50: [(2, "01-31"), (3, "04-10")],
+        51: [(2, "01-15"), (3, "01-20"), (4, "02-15")],
+    }
+    changes = [(c, p, date.fromisoformat(f"2020-{d}"), i) for c, steps in journeys.items() for i, (p, d) in enumerate(steps)]
+    changes.append((13, 2, date(2021, 3, 29), 9))
+    subs = spark.createDataFrame(changes, "customer_id int, plan_id int, start_date date, change_id int")
+    prices = [(0, "trial", "0"), (1, "basic monthly", "9.90"), (2, "pro monthly", "19.90"), (3, "pro annual", "199.00"), (4, "churn", None)]
+    plans = spark.createDataFrame(prices, "plan_id int, plan_name string, price string").selectExpr(
+        "plan_id", "plan_name", "CAST(price AS DECIMAL(18,2)) AS price"
+    )
+    out = {}
+    for r in subscription.payment_schedule(subs, plans, 2020).orderBy("customer_id", "payment_order").collect():
+        out.setdefault(r.customer_id, []).append((r.payment_date.strftime("%m-%d"), float(r.amount)))
+    monthly = lambda first, last, day, amount: [(f"{m:02d}-{day:02d}", amount) for m in range(first, last + 1)]
+    assert out == {
+        1: monthly(8, 12, 8, 9.9),
+        2: [("09-27", 199.0)],
+        13: [("12-22", 9.9)],
+        15: monthly(3, 4, 24, 19.9),
+        16: monthly(6, 10, 7, 9.9) + [("10-21", 189.1)],
+        18: monthly(7, 12, 13, 19.9),
+        19: monthly(6, 7, 29, 19.9) + [("08-29", 199.0)],
+        50: [("01-31", 19.9), ("02-29", 19.9), ("03-31", 19.9), ("04-30", 199.0)],
+        51: [("01-15", 19.9)],
+    }
+
+
 # --- statements --------------------------------------------------------------
 
 @pytest.fixture(scope="module")

@@ -71,6 +71,13 @@ def test_previous_value(table, rows, hot):
     assert {r.id: r.p for r in out.collect()} == expected
 
 
+@pytest.mark.parametrize("hot", CUTS)
+def test_next_value(table, rows, hot):
+    expected = {row[2]: (group[i + 1][3] if i + 1 < len(group) else None) for group in by_key(rows) for i, row in enumerate(group)}
+    out = previous_value(table, ["k"], "day", ["id"], "v", "p", hot_rows=hot, ahead=True)
+    assert {r.id: r.p for r in out.collect()} == expected
+
+
 @pytest.mark.parametrize("hot", CUTS)
 def test_fill_down(table, rows, hot):
     expected = {}
