@@ -278,20 +278,16 @@ def ingredient_lists(lines: DataFrame, headers: DataFrame, names: DataFrame, rec
     of an order their order.
     """
     none = F.array().cast("array<string>")
-    menu = (
-        explode_items(recipes, list_ids(F.col("toppings")), "topping_id")
-        .join(toppings, "topping_id")
-        .groupBy("pizza_id")
-        .agg(F.collect_list("topping_name").alias("recipe"))
-        .withColumn("standard", _list_text(F.col("recipe"), none))
-        .join(names, "pizza_id")
+    named_recipes = _names_of(recipes, "toppings", toppings, "recipe").select(
+        "pizza_id", "recipe", _list_text(F.col("recipe"), none).alias("standard")
     )
     numbered = running_row_number(
         clean_customer_orders(lines), ["order_id"], "line_slice", [F.col("line_sort")], "pizza_number_within_order"
     )
     rows = (
         _with_names(numbered.drop("line_slice", "line_sort").join(headers, "order_id"), toppings)
-        .join(menu, "pizza_id")
+        .join(named_recipes, "pizza_id")
+        .join(names, "pizza_id")
         .withColumn("on_it", F.concat("recipe", F.coalesce("in_names", none)))
         .withColumn("off_it", F.coalesce("out_names", none))
     )
