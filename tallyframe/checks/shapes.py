@@ -67,19 +67,19 @@ SHAPES: dict[str, str] = {
         SELECT n, (SELECT min(o.day) FROM open_days o WHERE o.day >= f.day) AS target FROM flags f) WHERE target IS NOT NULL GROUP BY 1""",
     "sales": "SELECT o_custkey AS customer_id, o_orderdate::DATE AS order_date, l_partkey AS product_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
     "menu": "SELECT p_partkey AS product_id, p_type AS product_name, p_retailprice::DECIMAL(18,2) AS price FROM part",
-    "members": "SELECT c_custkey AS customer_id, DATE '1996-01-01' + (c_custkey % 1500)::INT AS join_date FROM customer WHERE c_custkey % 3 <> 0",
+    "members": "SELECT c_custkey AS customer_id, DATE '1996-01-01' + (c_custkey % 1500)::INT AS join_date FROM customer WHERE c_mktsegment <> 'FURNITURE'",
     "lines": """SELECT l_orderkey AS order_id, o_custkey AS customer_id, l_partkey AS pizza_id,
         o_orderdate + to_minutes(o_orderkey % 1440) AS order_time,
         CASE l_linenumber WHEN 3 THEN (l_partkey % 25)::VARCHAR WHEN 7 THEN ((l_partkey + 5) % 25) || ', ' || (l_suppkey % 25) END AS exclusions,
         CASE l_suppkey % 4 WHEN 2 THEN (l_suppkey % 25)::VARCHAR WHEN 3 THEN ((l_partkey + 10) % 25) || ',' || ((l_suppkey + 1) % 25) END AS extras,
         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey % 256, l_partkey, l_suppkey, l_linenumber) AS line_no
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "runs": f"""SELECT o_orderkey AS order_id, (o_orderkey % 10 + 1)::INT AS runner_id, o_orderkey % 7 = 0 AS cancelled,
-        CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate + to_minutes(o_orderkey % 1440 + 5 + o_orderkey % 37) + to_seconds(o_orderkey % 60) END AS pickup_time,
-        CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN {_KM} || 'km' WHEN o_orderkey % 3 = 1 THEN {_KM} || ' km' ELSE {_KM} END AS distance,
-        CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN {_MIN} || ' minutes' WHEN o_orderkey % 3 = 1 THEN {_MIN} || 'mins' ELSE {_MIN} END AS duration,
-        CASE WHEN o_orderkey % 7 = 0 THEN 'Restaurant Cancellation' END AS cancellation,
-        CASE WHEN o_orderkey % 7 <> 0 THEN {_KM}::DECIMAL(10,2) END AS km, CASE WHEN o_orderkey % 7 <> 0 THEN {_MIN}::DOUBLE END AS minutes
+    "runs": f"""SELECT o_orderkey AS order_id, (o_orderkey % 10 + 1)::INT AS runner_id, o_orderpriority = '5-LOW' AS cancelled,
+        CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate + to_minutes(o_orderkey % 1440 + 5 + o_orderkey % 37) + to_seconds(o_orderkey % 60) END AS pickup_time,
+        CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderkey % 3 = 0 THEN {_KM} || 'km' WHEN o_orderkey % 3 = 1 THEN {_KM} || ' km' ELSE {_KM} END AS distance,
+        CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderkey % 3 = 0 THEN {_MIN} || ' minutes' WHEN o_orderkey % 3 = 1 THEN {_MIN} || 'mins' ELSE {_MIN} END AS duration,
+        CASE WHEN o_orderpriority = '5-LOW' THEN 'Restaurant Cancellation' END AS cancellation,
+        CASE WHEN o_orderpriority <> '5-LOW' THEN {_KM}::DECIMAL(10,2) END AS km, CASE WHEN o_orderpriority <> '5-LOW' THEN {_MIN}::DOUBLE END AS minutes
         FROM orders""",
     "done_lines": "SELECT l.* FROM lines l JOIN runs r ON l.order_id = r.order_id WHERE NOT r.cancelled",
     "kinds": "SELECT p_partkey AS pizza_id, CASE WHEN p_partkey % 2 = 0 THEN 'Meatlovers' ELSE 'Vegetarian' END AS pizza_name FROM part",

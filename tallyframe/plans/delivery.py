@@ -78,7 +78,9 @@ def delivered_by_type(lines: DataFrame, runner_orders: DataFrame) -> DataFrame:
 
 
 def delivered_by_customer_type(lines: DataFrame, headers: DataFrame, runner_orders: DataFrame, names: DataFrame) -> DataFrame:
-    rows = _delivered_lines(lines, runner_orders).join(headers, "order_id").join(names, "pizza_id")
+    # Order tables meet first, so the lines are joined once per key and a large order can be split.
+    orders = headers.join(delivered(runner_orders).select("order_id"), "order_id")
+    rows = lines.join(orders, "order_id").join(names, "pizza_id")
     return rows.groupBy("customer_id", "pizza_name").agg(F.count("*").alias("nr_delivered"))
 
 

@@ -17,6 +17,13 @@ SETTINGS = {
 }
 
 
+def tune(spark: SparkSession) -> None:
+    """Turns adaptive execution and its skew handling on in a session that was built elsewhere."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+
+
 def build_session(app: str = "tallyframe", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the recommended settings; ``extra`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

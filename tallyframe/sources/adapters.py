@@ -231,7 +231,7 @@ def menu(spark: SparkSession, d: str) -> DataFrame:
 def members(spark: SparkSession, d: str) -> DataFrame:
     return (
         table(spark, d, "customer")
-        .filter("c_custkey % 3 <> 0")
+        .filter("c_mktsegment <> 'FURNITURE'")
         .selectExpr("c_custkey AS customer_id", "date_add(DATE'1996-01-01', CAST(c_custkey % 1500 AS INT)) AS join_date")
     )
 
@@ -270,7 +270,7 @@ def order_headers(spark: SparkSession, d: str) -> DataFrame:
 
 def runner_orders(spark: SparkSession, d: str) -> DataFrame:
     """Raw delivery log: numbers in three spellings, 'null' and '' for missing."""
-    cancelled = "o_orderkey % 7 = 0"
+    cancelled = "o_orderpriority = '5-LOW'"
     pickup = (
         "o_orderdate + make_interval(0, 0, 0, 0, 0, CAST(o_orderkey % 1440 + 5 + o_orderkey % 37 AS INT),"
         " CAST(o_orderkey % 60 AS INT))"
@@ -318,7 +318,7 @@ def pizza_toppings(spark: SparkSession, d: str) -> DataFrame:
 def order_ratings(spark: SparkSession, d: str) -> DataFrame:
     return (
         table(spark, d, "orders")
-        .filter("o_orderkey % 7 <> 0")
+        .filter("o_orderpriority <> '5-LOW'")
         .selectExpr("o_orderkey AS order_id", "CAST(o_orderkey % 5 + 1 AS INT) AS rating")
     )
 
