@@ -340,7 +340,7 @@ _ALL |= {
     ),
     "payment_schedule": over(
         "subs",
-        """SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY payment_date) AS payment_order FROM (
+        """SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY payment_date)::INT AS payment_order FROM (
         SELECT customer_id, plan_id, plan_name, payment_date, (CASE plan_id WHEN 1 THEN 9.90 WHEN 2 THEN 19.90 ELSE 199.00 END
           - CASE WHEN old_plan = 'basic monthly' AND plan_id > 1 AND old_start < start_date AND payment_date = first THEN 9.90 ELSE 0 END)::DOUBLE AS amount
         FROM (SELECT *, (first + to_months(unnest(range(0, 13, CASE plan_id WHEN 3 THEN 12 ELSE 1 END))::INT))::DATE AS payment_date FROM (

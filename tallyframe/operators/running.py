@@ -91,29 +91,42 @@ def running_row_number(
     return _own_rows(with_carry(rows, carry).withColumn(out, F.sum("_add").over(window))).drop("_add")
 
 
-def previous_value(
+def neighbour_values(
     df: DataFrame,
     by: Sequence[str],
     slice_by: str,
     order: Sequence[str],
     value: str,
-    out: str,
+    before: str | None = None,
+    after: str | None = None,
     hot_rows: int = HOT_ROWS,
-    ahead: bool = False,
 ) -> DataFrame:
-    """``value`` of the row before, in the order ``slice_by``, ``order`` (unique); of the row after with ``ahead``."""
+    """``value`` of the row before and/or after, in the order ``slice_by``, ``order`` (unique)."""
     rows = cut_hot_groups(df, by, slice_by, hot_rows)
-    along, nearest = (F.desc, F.min) if ahead else (F.asc, F.max)
-    over_slices = Window.partitionBy(*by).orderBy(along("_slice"))
-    carry = (
+    over_slices = Window.partitionBy(*by).orderBy("_slice")
+    entry = F.struct(*order, F.col(value).alias("v"))
+    # The last entry of the slice before goes in front of a slice, the first one of the next behind it.
+    edges = (
         _slices(rows, by)
-        .agg(nearest(F.struct(*order, F.col(value).alias("v"))).alias("_end"))
-        .select(*by, "_slice", F.lag("_end").over(over_slices).alias("_end"))
-        .filter(F.col("_end").isNotNull())
-        .select(*by, "_slice", F.col("_end.v").alias(value))
+        .agg(F.max(entry).alias("_last"), F.min(entry).alias("_first"))
+        .withColumn("_front", F.lag("_last").over(over_slices))
+        .withColumn("_back", F.lead("_first").over(over_slices))
+    )
+    sides = F.array(
+        F.struct(F.lit(0).alias("own"), F.col("_front").alias("entry")), F.struct(F.lit(2).alias("own"), F.col("_back").alias("entry"))
     )
-    window = Window.partitionBy(*by, "_slice").orderBy("_own", along(slice_by), *[along(c) for c in order])
-    return _own_rows(with_carry(rows, carry).withColumn(out, F.lag(value).over(window)))
+    carry = (
+        edges.select(*by, "_slice", F.explode(sides).alias("_c"))
+        .filter(F.col("_c.entry").isNotNull())
+        .select(*by, "_slice", F.col("_c.own").alias("_own"), F.col("_c.entry.v").alias(value))
+    )
+    window = Window.partitionBy(*by, "_slice").orderBy("_own", slice_by, *order)
+    out = rows.withColumn("_own", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    if before:
+        out = out.withColumn(before, F.lag(value).over(window))
+    if after:
+        out = out.withColumn(after, F.lead(value).over(window))
+    return _own_rows(out)
 
 
 def fill_down(

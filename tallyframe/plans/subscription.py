@@ -14,7 +14,7 @@ from tallyframe.functions.dates import month_start
 from tallyframe.functions.numbers import bin_label, percent, round_half_up
 from tallyframe.operators.ranking import top_rows
 from tallyframe.operators.reshape import pivot_named
-from tallyframe.operators.running import previous_value, running_row_number
+from tallyframe.operators.running import neighbour_values
 
 FREE = ("trial", "churn")
 _IN_ORDER = ("start_date", "change_id")
@@ -122,7 +122,7 @@ def days_to_annual_histogram(subscriptions: DataFrame, width: int = 30, bins: in
 def downgrades(subscriptions: DataFrame, plans: DataFrame, year: int, old: str = "pro monthly", new: str = "basic monthly") -> DataFrame:
     """Changes from plan ``old`` straight to ``new``, both within the year."""
     rows = subscriptions.filter(F.year("start_date") == year)
-    steps = previous_value(rows, ["customer_id"], "start_date", ["change_id"], "plan_id", "old_id")
+    steps = neighbour_values(rows, ["customer_id"], "start_date", ["change_id"], "plan_id", before="old_id")
     before = plans.select(F.col("plan_id").alias("old_id"), F.col("plan_name").alias("old_plan"))
     after = plans.select("plan_id", F.col("plan_name").alias("new_plan"))
     return (
@@ -141,9 +141,15 @@ def payment_schedule(subscriptions: DataFrame, plans: DataFrame, year: int) -> D
     the running month. Nothing is paid after a churn or for a plan that is
     replaced before its first payment.
     """
-    steps = subscriptions.withColumn("_at", F.struct("start_date", "plan_id"))
-    steps = previous_value(steps, ["customer_id"], "start_date", ["change_id"], "_at", "before")
-    steps = previous_value(steps, ["customer_id"], "start_date", ["change_id"], "start_date", "until", ahead=True)
+    steps = neighbour_values(
+        subscriptions.withColumn("at", F.struct("start_date", "plan_id")),
+        ["customer_id"],
+        "start_date",
+        ["change_id"],
+        "at",
+        before="before",
+        after="after",
+    ).withColumn("until", F.col("after.start_date"))
     priced = plans.filter(~F.col("plan_name").isin(*FREE))
     old = plans.select(F.col("plan_id").alias("old_id"), F.col("plan_name").alias("old_name"), F.col("price").alias("old_price"))
     paid = (
@@ -175,5 +181,5 @@ def payment_schedule(subscriptions: DataFrame, plans: DataFrame, year: int) -> D
         )
         .select("customer_id", "plan_id", "plan_name", "payment_date", F.col("amount").cast("decimal(18,2)").alias("amount"))
     )
-    # A customer has one plan at a time, so there is at most one payment a day.
-    return running_row_number(payments, ["customer_id"], "payment_date", [F.col("plan_id")], "payment_order")
+    # A customer has one plan at a time and at most one payment a day, so this window never exceeds a year of days.
+    return payments.withColumn("payment_order", F.row_number().over(Window.partitionBy("customer_id").orderBy("payment_date")))

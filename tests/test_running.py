@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators.asof import asof_join, next_in_list
-from tallyframe.operators.running import fill_down, previous_value, running_row_number, running_sum
+from tallyframe.operators.running import fill_down, neighbour_values, running_row_number, running_sum
 
 # 0 cuts every group, 20 only the large one, the last none.
 CUTS = (0, 20, 10**6)
@@ -65,17 +65,13 @@ def test_running_row_number(table, rows, hot):
 
 
 @pytest.mark.parametrize("hot", CUTS)
-def test_previous_value(table, rows, hot):
-    expected = {row[2]: (group[i - 1][3] if i else None) for group in by_key(rows) for i, row in enumerate(group)}
-    out = previous_value(table, ["k"], "day", ["id"], "v", "p", hot_rows=hot)
-    assert {r.id: r.p for r in out.collect()} == expected
-
-
-@pytest.mark.parametrize("hot", CUTS)
-def test_next_value(table, rows, hot):
-    expected = {row[2]: (group[i + 1][3] if i + 1 < len(group) else None) for group in by_key(rows) for i, row in enumerate(group)}
-    out = previous_value(table, ["k"], "day", ["id"], "v", "p", hot_rows=hot, ahead=True)
-    assert {r.id: r.p for r in out.collect()} == expected
+def test_neighbour_values(table, rows, hot):
+    expected = {}
+    for group in by_key(rows):
+        values = [None, *[row[3] for row in group], None]
+        expected |= {row[2]: (values[i], values[i + 2]) for i, row in enumerate(group)}
+    out = neighbour_values(table, ["k"], "day", ["id"], "v", "b", "a", hot_rows=hot)
+    assert {r.id: (r.b, r.a) for r in out.collect()} == expected
 
 
 @pytest.mark.parametrize("hot", CUTS)
