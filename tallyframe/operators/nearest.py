@@ -35,23 +35,45 @@ def _up(y: str, x: str, steps: int, prefix: str) -> list[Column]:
     return [F.shiftright(y, steps).alias(f"{prefix}y"), F.shiftright(x, steps).alias(f"{prefix}x")]
 
 
+def _point_cells(cells: DataFrame, steps: int, size: float) -> DataFrame:
+    """Cells with points and what the bounds need of them, worked out once per cell."""
+    south, north = F.radians(F.col("py") * size - 90.0), F.radians((F.col("py") + 1) * size - 90.0)
+    middle = F.radians((F.col("py") + 0.5) * size - 90.0)
+    # From the middle of a cell to any of its points: along the meridian, then the parallel.
+    half_way = F.lit(EARTH_MILES) * F.radians(F.lit(size / 2)) * (1 + F.greatest(F.cos(south), F.cos(north)))
+    return cells.select(*_up("y", "x", steps, "p")).distinct().select(
+        "py",
+        "px",
+        F.sin(middle).alias("p_sin"),
+        F.cos(middle).alias("p_cos"),
+        F.radians((F.col("px") + 0.5) * size - 180.0).alias("p_turn"),
+        half_way.alias("half_way"),
+        F.least(F.cos(south), F.cos(north)).alias("narrowest"),
+    )
+
+
+def _site_cells(cells: DataFrame, steps: int) -> DataFrame:
+    """Cells with sites and the position of one site in each."""
+    lat = F.radians("site_at.lat")
+    return cells.groupBy(*_up("y", "x", steps, "s")).agg(F.min("site_at").alias("site_at")).select(
+        "sy", "sx", F.sin(lat).alias("s_sin"), F.cos(lat).alias("s_cos"), F.radians("site_at.long").alias("s_turn")
+    )
+
+
 def _cell_gap(size: float) -> Column:
     """Lower bound of the miles between cell (py, px) and cell (sy, sx)."""
     rows = F.greatest(F.lit(0), F.abs(F.col("py") - F.col("sy")) - 1)
     around = int(360 / size)
     turn = F.abs(F.col("px") - F.col("sx"))
     columns = F.greatest(F.lit(0), F.least(turn, F.lit(around) - turn) - 1)
-    south = F.radians(F.col("py") * size - 90.0)
-    north = F.radians((F.col("py") + 1) * size - 90.0)
-    across = F.asin(F.least(F.cos(south), F.cos(north)) * F.sin(F.radians(F.least(columns * size, F.lit(90.0)))))
+    across = F.asin(F.col("narrowest") * F.sin(F.radians(F.least(columns * size, F.lit(90.0)))))
     return F.lit(EARTH_MILES) * F.greatest(F.radians(rows * size), across)
 
 
-def _half_way_across(size: float) -> Column:
-    """Upper bound of the miles from the middle of cell (py, px) to any of its points: along the meridian, then the parallel."""
-    south = F.radians(F.col("py") * size - 90.0)
-    north = F.radians((F.col("py") + 1) * size - 90.0)
-    return F.lit(EARTH_MILES) * F.radians(F.lit(size / 2)) * (1 + F.greatest(F.cos(south), F.cos(north)))
+def _cell_reach() -> Column:
+    """Upper bound of the miles from any point of cell (py, px) to the known site of cell (sy, sx)."""
+    cosine = F.expr("p_sin * s_sin + p_cos * s_cos * cos(s_turn - p_turn)")
+    return F.lit(EARTH_MILES) * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) + F.col("half_way")
 
 
 def _candidate_cells(place_cells: DataFrame, site_cells: DataFrame) -> DataFrame:
@@ -60,28 +82,25 @@ def _candidate_cells(place_cells: DataFrame, site_cells: DataFrame) -> DataFrame
     for level, steps in enumerate(LEVELS):
         size = LEAF_DEGREES * 2**steps
         rows, columns = int(180 / size) + 1, int(360 / size) + 1  # cells on the whole earth, edges included
-        with_points = place_cells.select(*_up("y", "x", steps, "p")).distinct()
-        with_sites = site_cells.groupBy(*_up("y", "x", steps, "s")).agg(F.min("site_at").alias("site_at"))
-        if rows * columns <= _BROADCAST_CELLS:
-            with_points, with_sites = F.broadcast(with_points), F.broadcast(with_sites)
+        with_points, with_sites = _point_cells(place_cells, steps, size), _site_cells(site_cells, steps)
         if pairs is None:
             # The coarsest level has 9 x 17 cells, so this is a small fixed number of pairs.
-            all_cells = F.explode(F.sequence(F.lit(0), F.lit(rows * columns - 1)))
-            pairs = with_points.select("py", "px", all_cells.alias("i")).select(
-                "py", "px", F.expr(f"CAST(i DIV {columns} AS BIGINT) AS sy"), F.expr(f"CAST(i % {columns} AS BIGINT) AS sx")
-            ).join(with_sites, ["sy", "sx"])
+            pairs = with_points.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(rows * columns - 1))))
+            pairs = pairs.selectExpr("*", f"CAST(i DIV {columns} AS BIGINT) AS sy", f"CAST(i % {columns} AS BIGINT) AS sx")
+            pairs = pairs.join(F.broadcast(with_sites), ["sy", "sx"])
         else:
             wider = LEVELS[level - 1] - steps
-            above = pairs.select(F.col("py").alias("ppy"), F.col("px").alias("ppx"), F.col("sy").alias("psy"), F.col("sx").alias("psx"))
-            pairs = above.join(with_points.select("py", "px", *_up("py", "px", wider, "pp")), ["ppy", "ppx"]).join(
-                with_sites.select("sy", "sx", "site_at", *_up("sy", "sx", wider, "ps")), ["psy", "psx"]
-            )
-        middle = [(F.col(c) + 0.5) * size - edge for c, edge in (("py", 90.0), ("px", 180.0))]
-        reach = great_circle_miles(*middle, F.col("site_at.lat"), F.col("site_at.long")) + _half_way_across(size)
+            with_points = with_points.select("*", *_up("py", "px", wider, "pp"))
+            with_sites = with_sites.select("*", *_up("sy", "sx", wider, "ps"))
+            if rows * columns <= _BROADCAST_CELLS:
+                with_points, with_sites = F.broadcast(with_points), F.broadcast(with_sites)
+            above = pairs.selectExpr("py AS ppy", "px AS ppx", "sy AS psy", "sx AS psx")
+            pairs = above.join(with_points, ["ppy", "ppx"]).join(with_sites, ["psy", "psx"])
         pairs = (
-            pairs.withColumn("bound", F.min(reach).over(Window.partitionBy("py", "px")))
-            .filter(_cell_gap(size) <= F.col("bound") + _SLACK_MILES)
-            .select("py", "px", "sy", "sx", "site_at")
+            pairs.select("py", "px", "sy", "sx", _cell_gap(size).alias("gap"), _cell_reach().alias("reach"))
+            .withColumn("bound", F.min("reach").over(Window.partitionBy("py", "px")))
+            .filter(F.col("gap") <= F.col("bound") + _SLACK_MILES)
+            .select("py", "px", "sy", "sx")
         )
     return pairs
 
