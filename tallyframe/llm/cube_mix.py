@@ -6,8 +6,8 @@ probability. The cube method's flight moves three undecided probabilities at a
 time along the null space of the two balancing equations (documents, words)
 until one of them is 0 or 1, so both totals stay what they were. It runs in
 blocks of a source; the at most two undecided documents of each block meet in
-the blocks of the next level, until one block is left for a source. There the
-smallest ten documents wait; with the two that the flight leaves they are the
+the blocks of the next level, until one block is left for a source. There a
+dozen documents of all sizes wait; with the two that the flight leaves they are the
 landing, of which all roundings are tried for the closest totals.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import map_rows, spaced_words, stored
 
 _EDGE = 1e-9
-LANDING = 10  # documents that the last flight leaves aside, so that the landing can come close
+LANDING = 12  # documents that the last flight leaves aside, so that the landing can come close
 _KINDS = (
     "_source string, _null boolean, doc_id bigint, key bigint, size bigint, chance double, whole int, "
     "source_size bigint, target double"
@@ -117,8 +117,11 @@ def _decider(depth: int, last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def decide(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["size", "key", "doc_id"], ascending=[False, True, True], kind="stable")
         sizes, seed = block["size"].tolist(), f"{depth}:{block['_source'].iloc[0]}:{block['key'].min()}"
-        p, n = block["chance"].tolist(), len(sizes) - (LANDING if last else 0)  # the smallest wait for the landing
-        p[: max(0, n)] = flight(sizes[: max(0, n)], p[: max(0, n)], random.Random(seed))
+        p, n = block["chance"].tolist(), len(sizes)
+        aside = {k * n // LANDING for k in range(LANDING)} if last else set()  # all sizes, from the largest down
+        fly = [i for i in range(n) if i not in aside]
+        for i, x in zip(fly, flight([sizes[i] for i in fly], [p[i] for i in fly], random.Random(seed)), strict=True):
+            p[i] = x
         return block[_NAMES].assign(chance=np.array(landing(sizes, p) if last else p, dtype=float))
 
     return decide
