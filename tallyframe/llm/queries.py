@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import cube_mix, decontaminate, html_blocks, license_join, quality_forest, toxicity
+from tallyframe.llm import cube_mix, decontaminate, html_blocks, license_join, pii, quality_forest, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op9_cube_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(_read(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op9_cube_mix)
+    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op9_cube_mix, op10_disclosure)
 }
