@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import cube_mix, decontaminate, html_blocks, license_join, pii, quality_forest, toxicity
+from tallyframe.llm import bag_minhash, cube_mix, decontaminate, html_blocks, license_join, pii, quality_forest, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op5_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
 
+def op7_bag_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    classes = bag_minhash.near_duplicate_classes(_read(spark, folder, "documents"))
+    return classes.select("doc_id", "class_id", "class_size", "kept")
+
+
 def op9_cube_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = cube_mix.mix_sources(_read(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -47,5 +52,5 @@ def op10_disclosure(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op9_cube_mix, op10_disclosure)
+    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op7_bag_minhash, op9_cube_mix, op10_disclosure)
 }
