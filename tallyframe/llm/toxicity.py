@@ -235,9 +235,14 @@ def _cut(z: np.ndarray, toxic: np.ndarray) -> float:
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, n_features: int = 400, cut: float = 0.3
+    docs: DataFrame,
+    labels: DataFrame,
+    sample_rows: int = 10_000,
+    n_features: int = 400,
+    cut: float = 0.3,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, held_out, score and predicted per row of docs(doc_id, text).
+    """doc_id, held_out, score and predicted, and the columns to keep, per row of docs(doc_id, text).
 
     Labels are learnt only from rows whose crc32 of the id as text is not 2
     modulo 4: at most `sample_rows` of them, drawn by hash, give the mined
@@ -265,7 +270,7 @@ def score_toxicity(
     model = spark.sparkContext.broadcast(Reader(features, groups))
     held_out = F.coalesce(remainder == 2, F.lit(False)).alias("held_out")
     if not features:
-        return docs.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return docs.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *keep)
 
     def read(toxic: list, texts: list) -> dict[str, pa.Array]:
         found = [sorted(model.value(t)) for t in texts]
@@ -282,7 +287,9 @@ def score_toxicity(
     shift = _cut(z, toxic) - np.log(cut / (1 - cut))
     linear = spark.sparkContext.broadcast(w)
 
-    def work(ids: list, texts: list, held: list) -> dict[str, pa.Array]:
+    types = {c: dict(docs.dtypes)[c] for c in keep}
+
+    def work(ids: list, texts: list, held: list, *kept: list) -> dict[str, pa.Array]:
         w = linear.value
         z = np.array([w[-1] + sum(w[j] for j in sorted(model.value(t))) for t in texts])
         score = 1 / (1 + np.exp(-np.clip(z - shift, -30, 30))) if len(z) else z
@@ -291,11 +298,21 @@ def score_toxicity(
             "held_out": pa.array(held, pa.bool_()),
             "score": pa.array(score, pa.float64()),
             "predicted": pa.array((score >= cut).astype(np.int32), pa.int32()),
+        } | {
+            c: pa.array(v, pa.binary()).cast(pa.string()) if types[c] == "string" else pa.array(v, pa.int64())
+            for c, v in zip(keep, kept, strict=True)
         }
 
     return map_rows(
-        docs.select("doc_id", "text", held_out),
-        {"doc_id": "bigint", "text": "string", "held_out": "boolean"},
+        docs.select("doc_id", "text", held_out, *(F.col(c).alias(f"_{c}") for c in keep)),
+        {"doc_id": "bigint", "text": "string", "held_out": "boolean"} | {f"_{c}": types[c] for c in keep},
         work,
-        "doc_id bigint, held_out boolean, score double, predicted int",
+        ", ".join(["doc_id bigint, held_out boolean, score double, predicted int", *(f"{c} {types[c]}" for c in keep)]),
+    )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+    """docs(doc_id, text, lang, source, n_chars) without the rows that score_toxicity predicts as toxic."""
+    return score_toxicity(docs, labels, keep=("text", "lang", "source", "n_chars"), **settings).where("predicted = 0").select(
+        "doc_id", "text", "lang", "source", "n_chars"
     )
