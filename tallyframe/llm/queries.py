@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyframe.llm import bag_minhash, cube_mix, decontaminate, html_blocks, license_join, pii, quality_forest, toxicity
+from tallyframe.llm import bag_minhash, cube_mix, decontaminate, html_blocks, katz, license_join, pii, quality_forest, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +43,11 @@ def op7_bag_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op8_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return katz.score_texts(_read(spark, folder, "documents"), held_out)
+
+
 def op9_cube_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = cube_mix.mix_sources(_read(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -52,5 +58,5 @@ def op10_disclosure(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op7_bag_minhash, op9_cube_mix, op10_disclosure)
+    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op7_bag_minhash, op8_katz_backoff, op9_cube_mix, op10_disclosure)
 }
