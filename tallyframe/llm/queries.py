@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bag_minhash, cube_mix, decontaminate, html_blocks, katz, license_join, pii, quality_forest, toxicity
+from tallyframe.llm import bag_minhash, cube_mix, decontaminate, html_blocks, katz, license_join, passages, pii, quality_forest, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op5_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
 
+def op6_collinear_chains(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(_read(spark, folder, "documents"))
+
+
 def op7_bag_minhash(spark: SparkSession, folder: str) -> DataFrame:
     classes = bag_minhash.near_duplicate_classes(_read(spark, folder, "documents"))
     return classes.select("doc_id", "class_id", "class_size", "kept")
@@ -58,5 +62,5 @@ def op10_disclosure(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op7_bag_minhash, op8_katz_backoff, op9_cube_mix, op10_disclosure)
+    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op6_collinear_chains, op7_bag_minhash, op8_katz_backoff, op9_cube_mix, op10_disclosure)
 }
