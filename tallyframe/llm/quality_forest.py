@@ -90,20 +90,20 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
 
 
 def _features(counts: dict[str, np.ndarray]) -> np.ndarray:
-    """Rule values of each document, one column each; shares, so that long and short texts compare."""
+    """How far each rule is broken, from 0 (not at all) to 1, one column per rule, so that long and short texts compare."""
     c = {k: v.astype(float) for k, v in counts.items()}
     words, chars, lines = np.maximum(c["n_words"], 1), np.maximum(c["word_chars"], 1), np.maximum(c["n_lines"], 1)
-    return np.column_stack(
-        [
-            np.minimum(c["word_chars"] / words, 30),
-            np.minimum(c["n_symbols"] / words, 2),
-            c["n_dup_lines"] / lines,
-            c["n_repeat_words"] / words,
-            np.minimum(c["n_upper"] / chars, 1),
-            np.minimum(c["n_marks"] / words, 2),
-            c["n_digits"] / chars,
-        ]
-    )
+    mean = c["word_chars"] / words
+    broken = [
+        (c["n_symbols"] / words - 0.02) / 0.1,
+        (c["n_upper"] / chars - 0.25) / 0.25,
+        (c["n_marks"] / words - 0.1) / 0.3,
+        (c["n_dup_lines"] / lines - 0.5) / 0.3,
+        (c["n_repeat_words"] / words - 0.2) / 0.2,
+        np.where(words >= 10, np.maximum(3 - mean, mean - 12) / 3, 0),
+        (c["n_digits"] / chars - 0.3) / 0.3,
+    ]
+    return np.column_stack([np.clip(x, 0, 1) for x in broken])
 
 
 def _unseen(n: np.ndarray | float) -> np.ndarray | float:
@@ -219,11 +219,12 @@ def _threshold(bins: list[tuple[int, int, int]], max_false: float, default: floa
     good, bad = sum(b[1] for b in bins), sum(b[2] for b in bins)
     if not good or not bad:
         return default
-    lost, limit, caught, best = 0, max(b[0] for b in bins), 0, 0
-    for at, n_good, n_bad in sorted(bins, reverse=True):
+    bins = sorted(bins, reverse=True)
+    lost, limit, caught, best = 0, bins[0][0], 0, 0
+    for (at, n_good, n_bad), below in zip(bins, [*bins[1:], (0, 0, 0)], strict=True):
         lost, caught = lost + n_good, caught + n_bad
         if lost > max_false * good:
             break
-        if caught > best:
-            best, limit = caught, at - 1
+        if caught > best:  # half way to the next score that occurs
+            best, limit = caught, (at + below[0]) // 2
     return limit / 1000
