@@ -10,8 +10,9 @@ than every register, so long texts need little more than a point per shingle.
 Texts of equal multisets are one class from the start. Signatures are cut into
 bands; in each bucket the texts that share most buckets with others serve as
 hubs that all members are held against, which makes the work linear in the
-bucket. What stays apart is then compared in blocks by signature. Only pairs
-whose exact multiset overlap reaches the threshold are links.
+bucket. What stays apart is then compared in blocks, by signature and by a
+bound on the overlap. Only pairs whose exact multiset overlap reaches the
+threshold are links.
 """
 
 from __future__ import annotations
@@ -126,7 +127,7 @@ def _bags(texts: DataFrame, size: int) -> DataFrame:
     return map_rows(texts, {"row": "bigint", "text": "string"}, work, "row bigint, bag binary", start=WordHash)
 
 
-def _overlap(a: bytes, b: bytes) -> float:
+def _overlap(a, b) -> float:
     """Weighted Jaccard similarity of two packed bags."""
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
     both = np.sort(np.concatenate([x, y]), kind="stable")
@@ -174,29 +175,53 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), REGISTERS)
 
 
-def _apart(least: float):
-    """Pairs of one block of a bucket that are not yet in one component but have signatures alike."""
+def _shared_at_most(bags: list[np.ndarray], rows: np.ndarray, others: list[np.ndarray], other_rows: np.ndarray) -> np.ndarray:
+    """For each bag the units that any other of the others holds too: no single overlap can be larger."""
+    values, counts = np.unique(np.concatenate(others), return_counts=True)
+    there = np.isin(rows, other_rows)
+    out = np.zeros(len(bags), np.int64)
+    for i, bag in enumerate(bags):
+        at = np.minimum(np.searchsorted(values, bag), len(values) - 1)
+        out[i] = ((values[at] == bag) & (counts[at] > there[i])).sum()
+    return out
+
+
+def _apart(least: float, threshold: float):
+    """Links that join components within one block of a bucket.
+
+    A pair is looked at if its signatures are alike, its bags could overlap
+    enough (units that nobody else in the block holds cannot be shared), and
+    no link found before has joined its components.
+    """
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         left, right = block[block["side"] == 0], block[block["side"] == 1]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        x, y = _matrix(left["marks"]), _matrix(right["marks"])
-        xc, yc = left["comp"].to_numpy(), right["comp"].to_numpy()
-        xr, yr = left["row"].to_numpy(), right["row"].to_numpy()
-        out = []
-        for i in range(len(x)):
-            j = np.flatnonzero(((y == x[i]).mean(1) >= least) & (yc != xc[i]))
-            if len(j):
-                out.append(np.column_stack([np.minimum(xr[i], yr[j]), np.maximum(xr[i], yr[j])]))
-        pairs = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        links: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            x, y = _matrix(left["marks"]), _matrix(right["marks"])
+            xr, yr = left["row"].to_numpy(), right["row"].to_numpy()
+            xb, yb = ([np.frombuffer(b, np.uint32) for b in side["bag"]] for side in (left, right))
+            xn, yn = (np.array([len(b) for b in bags]) for bags in (xb, yb))
+            xs, ys = _shared_at_most(xb, xr, yb, yr), _shared_at_most(yb, yr, xb, xr)
+            names, code = np.unique(np.concatenate([left["comp"], right["comp"]]), return_inverse=True)
+            xc, yc = code[: len(xr)], code[len(xr) :].copy()
+            group = np.arange(len(names))  # components as joined so far
+            for i in range(len(xr)):
+                most = np.minimum(xs[i], ys)
+                could = most >= (threshold - 1e-12) * (xn[i] + yn - most)
+                agree = (y[could] == x[i]).mean(1)
+                near = np.flatnonzero(could)[agree >= least]
+                for j in near[np.argsort(-agree[agree >= least], kind="stable")]:
+                    if group[xc[i]] != group[yc[j]] and _overlap(xb[i], yb[j]) >= threshold - 1e-12:
+                        links.append((min(xr[i], yr[j]), max(xr[i], yr[j])))
+                        group[group == group[yc[j]]] = group[xc[i]]
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return compare
 
 
 def near_duplicate_classes(
-    docs: DataFrame, size: int = 5, threshold: float = 0.8, least: float = 0.62, hubs: int = 3, block: int = 2000
+    docs: DataFrame, size: int = 5, threshold: float = 0.8, least: float = 0.62, hubs: int = 3, block: int = 1000
 ) -> DataFrame:
     """row, doc_id, key, class_id, class_size and kept (one row of each class) per row of docs(doc_id, text).
 
@@ -245,17 +270,16 @@ def near_duplicate_classes(
     top = by.groupBy("band", "key").agg(
         F.max_by("comp", F.struct("n_comp", "comp")).alias("main"), F.count("*").alias("n_comps"), F.sum("n_comp").alias("n_all")
     )
-    split = comp.join(top.where("n_comps > 1"), ["band", "key"]).join(marks, "row")
+    split = comp.join(top.where("n_comps > 1"), ["band", "key"]).join(marks, "row").join(bags, "row")
     slices = F.ceil(F.col("n_all") / block).cast("int")
     at = F.pmod(F.xxhash64("row"), slices).cast("int")
     every = F.explode(F.sequence(F.lit(0), slices - 1)).alias("other")
-    left = split.where("comp <> main").select("band", "key", "row", "comp", "marks", F.lit(0).alias("side"), at.alias("i"), every)
+    left = split.where("comp <> main").select("band", "key", "row", "comp", "marks", "bag", F.lit(0).alias("side"), at.alias("i"), every)
     left = left.withColumnRenamed("other", "j")
-    right = split.select("band", "key", "row", "comp", "marks", F.lit(1).alias("side"), at.alias("j"), every)
+    right = split.select("band", "key", "row", "comp", "marks", "bag", F.lit(1).alias("side"), at.alias("j"), every)
     right = right.withColumnRenamed("other", "i").select(*left.columns)
-    rest = left.unionByName(right).groupBy("band", "key", "i", "j").applyInPandas(_apart(least), "a long, b long").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = stored(_verified(rest, bags, threshold), "more")
+    blocks = left.unionByName(right).groupBy("band", "key", "i", "j")
+    more = stored(blocks.applyInPandas(_apart(least, threshold), "a long, b long").distinct(), "more")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     final = member.join(roots.withColumnRenamed("node", "rep").withColumnRenamed("root", "top"), "rep", "left")
