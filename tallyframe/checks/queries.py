@@ -133,7 +133,7 @@ _ALL |= {
         """SELECT reporting_month, row_number() OVER (PARTITION BY reporting_month ORDER BY dates, roi_reporting_month NULLS LAST)::INT AS reporting_day,
         dates, uk_new_customers, roi_new_customers, roi_reporting_month,
         CASE WHEN roi_reporting_month IS DISTINCT FROM reporting_month THEN 'x' END AS misalignment_flag
-        FROM (SELECT u.day AS dates, u.n AS uk_new_customers, r.n AS roi_new_customers, r.reporting_month AS roi_reporting_month,
+        FROM (SELECT u.day AS dates, u.n AS uk_new_customers, coalesce(r.n, 0) AS roi_new_customers, r.reporting_month AS roi_reporting_month,
             strftime(CASE WHEN u.day = max(u.day) OVER (PARTITION BY date_trunc('month', u.day)) THEN u.day + INTERVAL 1 MONTH ELSE u.day END, '%b-%y') AS reporting_month
           FROM uk u LEFT JOIN (SELECT target, reporting_month, sum(new_customers)::BIGINT AS n FROM (
               SELECT *, (SELECT min(u.day) FROM uk u WHERE u.day >= a.day) AS target FROM away_days a) GROUP BY 1, 2) r ON u.day = r.target)
@@ -233,7 +233,7 @@ _ALL |= {
     "success_pct": over(
         "runs",
         f"""SELECT runner_id, count(*) AS orders_received, count(duration) AS orders_delivered,
-        printf('%.2f%%', {rounded('count(duration)::DOUBLE / count(*) * 100', 2)}) AS succesful_delivery_percentage FROM runs GROUP BY 1""",
+        printf('%.2f%%', {rounded('count(duration)::DOUBLE / count(*) * 100', 2)}) AS successful_delivery_percentage FROM runs GROUP BY 1""",
     ),
     "standard_ingredients": over(
         "kinds recipe_items toppings", "SELECT pizza_name, topping_name FROM recipe_items JOIN kinds USING (pizza_id) JOIN toppings USING (topping_id)"

@@ -35,6 +35,11 @@ def year_month(day: Column) -> Column:
     return F.date_format(day, "yyyyMM")
 
 
+def in_year(day: Column, year: int) -> Column:
+    """True from 1 January of the year on and before that of the next: a range, which a scan can use."""
+    return (day >= F.make_date(F.lit(year), F.lit(1), F.lit(1))) & (day < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1)))
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "month")
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Texts that stand for a missing value.
 NULL_MARKERS = ("", "null")
-# Fixed value: white space and lower-case letters are dropped from a number with a unit.
-UNIT_PATTERN = r"[\sa-z]"
+# Fixed value: white space and letters are dropped from a number with a unit.
+UNIT_PATTERN = r"[\sA-Za-z]"
 
 
 def blank_to_null(col: Column, markers: tuple[str, ...] = NULL_MARKERS) -> Column:
@@ -16,8 +16,11 @@ def blank_to_null(col: Column, markers: tuple[str, ...] = NULL_MARKERS) -> Colum
 
 
 def leading_number(col: Column) -> Column:
-    """``'13.4 km'`` -> 13.4; text without a number -> NULL."""
-    return F.regexp_replace(col, UNIT_PATTERN, "").try_cast("double")
+    """``'13.4 km'`` -> 13.4; text without a digit -> NULL; digits that are no number (``'1.2.3'``) stop the query."""
+    digits = F.regexp_replace(col, UNIT_PATTERN, "")
+    number = digits.try_cast("double")
+    unreadable = number.isNull() & digits.rlike("[0-9]")
+    return F.when(unreadable, F.raise_error(F.concat(F.lit("not a number: "), col)).cast("double")).otherwise(number)
 
 
 def scaled_amount(col: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.running import HOT_ROWS, cut_hot_groups, with_carry
+from tallyframe.operators.running import cut_groups, with_carry
 
 
 def asof_join(
@@ -19,18 +19,17 @@ def asof_join(
     slice_by: str,
     direction: str = "forward",
     strict: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every left row with the ``take`` columns of the closest right row of the same key.
 
     ``forward`` looks for the first later right row, ``backward`` for the last
     earlier one; ``strict`` leaves equal times out. Both sides hold ``by``,
     ``time`` and ``slice_by``, a column that never decreases with ``time`` (its
-    day, say). Left rows without a match keep NULLs. Among right rows of the
+    day, say). Left rows without a match keep NULLs; a NULL key or time on either
+    side matches nothing. Among right rows of the
     same time the smallest ``take`` wins looking forward, the largest backward.
 
-    The two sides are stacked and read once per key, or once per (key, slice)
-    where a key is very large; the match from beyond the slice then comes in
+    The two sides are stacked and read once per (key, slice); the match from beyond the slice then comes in
     as one carried row. There is neither a range join nor a large key in one task.
     """
     forward = direction == "forward"
@@ -41,13 +40,12 @@ def asof_join(
     left_side, right_side = (1, 2) if strict else (2, 1)
     hit = F.struct(F.col(time), *[F.col(c) for c in take])
     stacked = left.withColumn("_side", F.lit(left_side)).unionByName(
-        right.select(*by, time, slice_by, hit.alias("_hit"), F.lit(right_side).alias("_side")), allowMissingColumns=True
+        right.dropna(subset=[*by, time]).select(*by, time, slice_by, hit.alias("_hit"), F.lit(right_side).alias("_side")), allowMissingColumns=True
     )
-    rows = cut_hot_groups(stacked, by, slice_by, hot_rows)
+    rows = cut_groups(stacked, slice_by)
     beyond = Window.partitionBy(*by).orderBy(along("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        rows.filter(F.col("_slice").isNotNull())
-        .groupBy(*by, "_slice")
+        rows.groupBy(*by, "_slice")
         .agg(pick("_hit").alias("_hit"))
         .select(*by, "_slice", F.last("_hit", ignorenulls=True).over(beyond).alias("_hit"))
         .filter(F.col("_hit").isNotNull())
@@ -62,7 +60,7 @@ def asof_join(
         .withColumn("_found", F.last("_hit", ignorenulls=True).over(walk))
         .filter((F.col("_own") == 1) & (F.col("_side") == left_side))
     )
-    return found.select(*left.columns, *[F.col(f"_found.{c}").alias(c) for c in take])
+    return found.select(*left.columns, *[F.when(F.col(time).isNotNull(), F.col(f"_found.{c}")).alias(c) for c in take])
 
 
 def next_in_list(days: DataFrame, day: str, marks: DataFrame, mark: str, out: str, strict: bool) -> DataFrame:

@@ -26,13 +26,13 @@ def statement(legs: DataFrame, openings: DataFrame) -> DataFrame:
     ``legs``: account, transaction_date, value; ``openings``: account,
     transaction_date, balance. An account starts with its opening balance
     (value NULL); on one day the highest values come first, and equal values
-    show the balance after all of them.
+    show the balance after all of them. Movements without a date come before
+    all others and enter every later balance.
     """
     rows = legs.select("account", "transaction_date", "value", F.col("value").alias("_change"), F.lit(1).alias("_turn"))
     starts = openings.select(
         "account", "transaction_date", F.lit(None).cast("decimal(18,2)").alias("value"), F.col("balance").alias("_change"), F.lit(0).alias("_turn")
     )
     order = [F.col("_turn"), F.col("value").desc_nulls_first()]
-    # Accounts are cut by day without counting: the sums per day reuse the shuffles of the rows.
-    out = running_sum(rows.unionByName(starts), ["account"], "transaction_date", order, "_change", "balance", hot_rows=0)
+    out = running_sum(rows.unionByName(starts), ["account"], "transaction_date", order, "_change", "balance")
     return out.select("account", "transaction_date", F.col("value").alias("transaction_value"), "balance")

@@ -27,6 +27,16 @@ RESOLUTION_DIGITS = 3
 _SLACK_MILES = 0.01
 
 
+def _latitude(name: str) -> Column:
+    return F.when(F.col(name).between(-90, 90), F.col(name).cast("double"))
+
+
+def _longitude(name: str) -> Column:
+    """From -180 up to 180; what already lies there stays exactly as it is."""
+    degrees = F.col(name).cast("double")
+    return F.when(degrees.between(-180, 180), degrees).otherwise(F.pmod(degrees + 180.0, F.lit(360.0)) - 180.0)
+
+
 def _leaf(lat: str, long: str) -> list[Column]:
     return [F.floor((F.col(lat) + 90.0) / LEAF_DEGREES).alias("y"), F.floor((F.col(long) + 180.0) / LEAF_DEGREES).alias("x")]
 
@@ -110,9 +120,13 @@ def nearest_site(
 ) -> DataFrame:
     """``points`` plus the columns ``site`` and ``distance`` (miles) of the nearest site.
 
-    Equal distances go to the smallest site id. A point without coordinates
-    keeps NULLs.
+    Equal distances go to the smallest site id. Longitudes may be any number
+    of turns around the earth. A point without coordinates, or with a latitude
+    that does not exist, keeps NULLs; such sites are left out.
     """
+    points = points.withColumn("_plat", _latitude(point_lat)).withColumn("_plong", _longitude(point_long))
+    sites = sites.withColumn("_slat", _latitude(site_lat)).withColumn("_slong", _longitude(site_long))
+    point_lat, point_long, site_lat, site_long = "_plat", "_plong", "_slat", "_slong"
     # Points and sites that share a place are handled once.
     places = points.select(F.col(point_lat).alias("plat"), F.col(point_long).alias("plong")).dropna().distinct()
     places = places.select("plat", "plong", *_leaf("plat", "plong"))
@@ -138,4 +152,4 @@ def nearest_site(
         .select("plat", "plong", F.col("best")[site].alias(site), F.col("best.distance").alias("distance"))
     )
     same_place = (points[point_lat] == best["plat"]) & (points[point_long] == best["plong"])
-    return points.join(best, same_place, "left").drop("plat", "plong")
+    return points.join(best, same_place, "left").drop("plat", "plong", "_plat", "_plong")

@@ -32,14 +32,3 @@ def top_rows(
     window = Window.partitionBy(*by).orderBy(*order)
     out = df.withColumn(name, _RANKS[ties]().over(window)).filter(F.col(name) <= n)
     return out if rank_as else out.drop(name)
-
-
-def nth_row(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The n-th row of every group that has so many."""
-    window = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == n).drop("_rank")
-
-
-def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Undo a pre-aggregation: each row as often as its ``times`` column says."""
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop("_copy", times)

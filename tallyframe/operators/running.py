@@ -1,44 +1,28 @@
 """Running results over groups that may be very large.
 
-A plain window puts each group into one task. Here a large group is cut into
+A plain window puts each group into one task. Here every group is cut into
 *slices* by a column that never decreases along the order (a day, a distance
 band ...). One row per slice is aggregated first and carried over the slices,
 which is a small window; then the carried value enters its slice as one extra
 row, and the row-level window runs per (group, slice). A group that holds a
 third of the table is thus spread over as many tasks as it has slices, and no
-row-to-row join is needed.
-
-Groups of up to ``HOT_ROWS`` rows stay in one piece. The larger ones are found
-by a count; there are at most (rows / HOT_ROWS) of them, so that list is small
-enough to broadcast. ``hot_rows=0`` cuts every group without counting.
+row-to-row join is needed. Rows without a slice are the first slice of their
+group, as NULL comes first in the order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: rows that one task can sort comfortably.
-HOT_ROWS = 1_000_000
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
-def cut_hot_groups(df: DataFrame, by: Sequence[str], slice_by: str, hot_rows: int) -> DataFrame:
-    """Adds ``_slice``: ``slice_by`` in groups of more than ``hot_rows`` rows, else NULL."""
-    if hot_rows == 0:
-        return df.withColumn("_slice", F.col(slice_by))
-    names = [f"_hot{i}" for i in range(len(by))]
-    hot = (
-        df.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)])
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-    )
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)])
-    joined = df.join(F.broadcast(hot), same, "left")
-    return joined.withColumn("_slice", F.when(F.col("_rows").isNotNull(), F.col(slice_by))).drop(*names, "_rows")
+def cut_groups(df: DataFrame, slice_by: str) -> DataFrame:
+    """Adds ``_slice``, the piece of its group that a row belongs to."""
+    return df.withColumn("_slice", F.col(slice_by))
 
 
 def with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
@@ -47,7 +31,7 @@ def with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
 
 
 def _slices(rows: DataFrame, by: Sequence[str]):
-    return rows.filter(F.col("_slice").isNotNull()).groupBy(*by, "_slice")
+    return rows.groupBy(*by, "_slice")
 
 
 def _own_rows(df: DataFrame) -> DataFrame:
@@ -55,13 +39,13 @@ def _own_rows(df: DataFrame) -> DataFrame:
 
 
 def running_sum(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], value: str, out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], value: str, out: str
 ) -> DataFrame:
     """Sum of ``value`` from the start of the group, ordered by ``slice_by`` and then ``order``.
 
     Rows with equal order share their sum; NULL values count as zero.
     """
-    rows = cut_hot_groups(df.withColumn("_add", F.col(value)), by, slice_by, hot_rows)
+    rows = cut_groups(df.withColumn("_add", F.col(value)), slice_by)
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
     carry = (
         _slices(rows, by)
@@ -76,10 +60,10 @@ def running_sum(
 
 
 def running_row_number(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[Column], out: str
 ) -> DataFrame:
     """1, 2, 3 ... within the group, ordered by ``slice_by`` and then ``order`` (unique)."""
-    rows = cut_hot_groups(df.withColumn("_add", F.lit(1).cast("long")), by, slice_by, hot_rows)
+    rows = cut_groups(df.withColumn("_add", F.lit(1).cast("long")), slice_by)
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
     carry = (
         _slices(rows, by)
@@ -99,10 +83,9 @@ def neighbour_values(
     value: str,
     before: str | None = None,
     after: str | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``value`` of the row before and/or after, in the order ``slice_by``, ``order`` (unique)."""
-    rows = cut_hot_groups(df, by, slice_by, hot_rows)
+    rows = cut_groups(df, slice_by)
     over_slices = Window.partitionBy(*by).orderBy("_slice")
     entry = F.struct(*order, F.col(value).alias("v"))
     # The last entry of the slice before goes in front of a slice, the first one of the next behind it.
@@ -130,10 +113,10 @@ def neighbour_values(
 
 
 def fill_down(
-    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, by: Sequence[str], slice_by: str, order: Sequence[str], value: str, out: str
 ) -> DataFrame:
     """The last non-NULL ``value`` up to and including the row, in the order ``slice_by``, ``order``."""
-    rows = cut_hot_groups(df, by, slice_by, hot_rows)
+    rows = cut_groups(df, slice_by)
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
     known = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("v")))
     carry = (

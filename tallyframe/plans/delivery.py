@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tallyframe.functions.dates import clock, minute_steps, week_start, weekday_from_sunday
 from tallyframe.functions.numbers import percent_text, ratio, round_half_up
 from tallyframe.functions.text import blank_to_null, leading_number, list_ids
-from tallyframe.operators.lookup import named_items, small_map
 from tallyframe.operators.reshape import explode_items
 from tallyframe.operators.running import running_row_number
 
@@ -189,7 +188,7 @@ def success_percentage(runner_orders: DataFrame) -> DataFrame:
         F.count("*").alias("orders_received"), F.count("duration").alias("orders_delivered")
     )
     share = percent_text(F.col("orders_delivered"), F.col("orders_received"))
-    return counts.withColumn("succesful_delivery_percentage", share)
+    return counts.withColumn("successful_delivery_percentage", share)
 
 
 # --- ingredients -------------------------------------------------------------
@@ -221,14 +220,11 @@ def top_exclusion(lines: DataFrame, toppings: DataFrame) -> DataFrame:
 
 
 def _names_of(rows: DataFrame, column: str, toppings: DataFrame, out: str) -> DataFrame:
-    """``out``: the sorted topping names of a list column, NULL without any.
+    """``out``: the sorted topping names of a list column, NULL for a list without a known name.
 
-    A short topping table is looked up in place, so the rows do not move. With
-    a long one every distinct list text is named once and joined back.
+    Every distinct list text is named once and joined back. Ids without a name
+    are left out; an id with several names has them all.
     """
-    lookup = small_map(toppings, "topping_id", "topping_name")
-    if lookup is not None:
-        return rows.withColumn(out, named_items(list_ids(F.col(column)), lookup))
     texts = rows.select(F.col(column).alias("list_text")).filter("list_text IS NOT NULL").distinct()
     named = (
         explode_items(texts, list_ids(F.col("list_text")), "topping_id")
@@ -280,7 +276,7 @@ def ingredient_lists(lines: DataFrame, headers: DataFrame, names: DataFrame, rec
     of an order their order.
     """
     none = F.array().cast("array<string>")
-    named_recipes = _names_of(recipes, "toppings", toppings, "recipe").select(
+    named_recipes = _names_of(recipes, "toppings", toppings, "recipe").withColumn("recipe", F.coalesce("recipe", none)).select(
         "pizza_id", "recipe", _list_text(F.col("recipe"), none).alias("standard")
     )
     numbered = running_row_number(

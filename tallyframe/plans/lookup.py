@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def report_lookup(reports: DataFrame, day: int, city: str, kind: str) -> DataFrame:
-    return reports.filter((F.col("date") == day) & (F.col("city") == city) & (F.col("type") == kind))
+def report_lookup(reports: DataFrame, day: date, city: str, kind: str) -> DataFrame:
+    """Reports of one day, city and kind; ``day`` is a date, which the scan can use."""
+    return reports.filter((F.col("day") == F.lit(day)) & (F.col("city") == city) & (F.col("type") == kind)).drop("day")
 
 
 def last_house(people: DataFrame, street: str) -> DataFrame:
@@ -54,11 +57,12 @@ def attendance_profile(
 ) -> DataFrame:
     """People with a given look and car who came to an event exactly ``times`` in a month (yyyymm).
 
-    Check-ins are counted before the joins; the dates stay numbers, so the
-    month is a range.
+    Check-ins are counted before the joins; the month is a range of dates.
     """
+    first = F.make_date(F.lit(month // 100), F.lit(month % 100), F.lit(1))
+    in_month = (F.col("day") >= first) & (F.col("day") < F.add_months(first, 1))
     counts = (
-        checkins.filter((F.col("event_name") == event) & F.col("date").between(month * 100 + 1, month * 100 + 31))
+        checkins.filter((F.col("event_name") == event) & in_month)
         .groupBy("person_id")
         .agg(F.count("person_id").alias("attendances"))
         .filter(F.col("attendances") == times)

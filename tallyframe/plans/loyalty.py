@@ -1,24 +1,24 @@
 """Shop sales, favourite items and member points.
 
-Sales are first counted per customer, day and item. What a ranking or a join
-by customer then sees is bounded by days x items, however often one customer
-or one item occurs.
+Amounts are summed per customer straight from the sales joined with the menu:
+a map task sends one row per customer, however often one of them occurs.
+Filters by joining date come before the sums.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.ranking import repeat_rows, top_rows
+from tallyframe.operators.ranking import top_rows
 
 
 def customer_spend(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Total per customer only."""
-    counted = sales.groupBy("customer_id", "product_id").agg(F.count("*").alias("n"))
-    return counted.join(menu, "product_id").groupBy("customer_id").agg(F.sum(F.col("n") * F.col("price")).alias("spend"))
+    return sales.join(menu, "product_id").groupBy("customer_id").agg(F.sum("price").alias("spend"))
 
 
 def visit_days(sales: DataFrame) -> DataFrame:
@@ -38,53 +38,35 @@ def top_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 def favourite_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Most bought item per customer, with ties."""
-    counted = sales.groupBy("customer_id", "product_id").agg(F.count("*").alias("n"))
-    named = counted.join(menu, "product_id").groupBy("customer_id", "product_name").agg(F.sum("n").alias("times_ordered"))
+    named = sales.join(menu, "product_id").groupBy("customer_id", "product_name").agg(F.count("*").alias("times_ordered"))
     return top_rows(named, ["customer_id"], [F.col("times_ordered").desc()], ties="dense_rank")
 
 
-def _daily_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
-    return (
-        sales.groupBy("customer_id", "order_date", "product_id")
-        .agg(F.count("*").alias("n"))
-        .join(menu, "product_id")
-        .groupBy("customer_id", "order_date", "product_name")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("price")).alias("spend"))
-    )
-
-
-def _around_joining(sales: DataFrame, menu: DataFrame, members: DataFrame, kept: Column, order: Column) -> DataFrame:
-    rows = _daily_items(sales, menu).join(members, "customer_id").filter(kept)
-    nearest_day = top_rows(rows.select("customer_id", "order_date", "product_name", "n"), ["customer_id"], [order], ties="dense_rank")
-    return repeat_rows(nearest_day, "n").select("customer_id", "product_name")
+def _around_joining(sales: DataFrame, menu: DataFrame, members: DataFrame, kept: Column, nearest: Callable) -> DataFrame:
+    """The sales of one day per member: a date per customer is found first, then the sales of that date pass as they are."""
+    rows = sales.join(menu.select("product_id", "product_name"), "product_id")
+    days = rows.join(members, "customer_id").filter(kept).groupBy("customer_id").agg(nearest("order_date").alias("order_date"))
+    return rows.join(days, ["customer_id", "order_date"]).select("customer_id", "product_name")
 
 
 def first_item_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """All sales of the first day on or after the joining date."""
-    return _around_joining(sales, menu, members, F.col("join_date") <= F.col("order_date"), F.col("order_date").asc())
+    return _around_joining(sales, menu, members, F.col("join_date") <= F.col("order_date"), F.min)
 
 
 def last_item_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """All sales of the last day before the joining date."""
-    return _around_joining(sales, menu, members, F.col("join_date") > F.col("order_date"), F.col("order_date").desc())
-
-
-def _daily_totals(sales: DataFrame, menu: DataFrame) -> DataFrame:
-    """Items and amount per customer and day; an item without a menu entry counts but has no price."""
-    return (
-        sales.groupBy("customer_id", "order_date", "product_id")
-        .agg(F.count("*").alias("n"))
-        .join(menu, "product_id", "left")
-        .groupBy("customer_id", "order_date")
-        .agg(F.sum("n").alias("items"), F.sum(F.col("n") * F.col("price")).alias("spend"))
-    )
+    return _around_joining(sales, menu, members, F.col("join_date") > F.col("order_date"), F.max)
 
 
 def pre_join_totals(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Items and amount before joining; customers who never joined count with everything."""
-    rows = _daily_totals(sales, menu).join(members, "customer_id", "left")
+    """Items and amount before joining; customers who never joined count with everything.
+
+    An item without a menu entry counts but has no price.
+    """
+    rows = sales.join(menu, "product_id", "left").join(members, "customer_id", "left")
     before = rows.filter(F.col("join_date").isNull() | (F.col("join_date") > F.col("order_date")))
-    return before.groupBy("customer_id").agg(F.sum("items").alias("total_items"), F.sum("spend").alias("total_spend"))
+    return before.groupBy("customer_id").agg(F.count("*").alias("total_items"), F.sum("price").alias("total_spend"))
 
 
 def _points(double: Column) -> Column:
@@ -93,9 +75,8 @@ def _points(double: Column) -> Column:
 
 def points(sales: DataFrame, menu: DataFrame, double_item: str) -> DataFrame:
     """Ten points per unit of money, twenty for one item."""
-    counted = sales.groupBy("customer_id", "product_id").agg(F.count("*").alias("n"))
-    earned = F.col("n") * F.col("price") * _points(F.col("product_name") == double_item)
-    return counted.join(menu, "product_id", "left").groupBy("customer_id").agg(F.sum(earned).alias("points"))
+    earned = F.col("price") * _points(F.col("product_name") == double_item)
+    return sales.join(menu, "product_id", "left").groupBy("customer_id").agg(F.sum(earned).alias("points"))
 
 
 def first_week_points(
@@ -104,7 +85,7 @@ def first_week_points(
     """Twenty points on everything in the seven days from joining on, else as ``points``; sales up to ``until``."""
     if until is not None:
         sales = sales.filter(F.col("order_date") <= F.lit(until))
-    rows = _daily_items(sales, menu).join(members, "customer_id", "left")
+    rows = sales.join(menu, "product_id").join(members, "customer_id", "left")
     first_week = F.coalesce(F.datediff("order_date", "join_date").between(0, 6), F.lit(False))
-    earned = F.col("spend") * _points(first_week | (F.col("product_name") == double_item))
+    earned = F.col("price") * _points(first_week | (F.col("product_name") == double_item))
     return rows.groupBy("customer_id").agg(F.sum(earned).alias("points"))

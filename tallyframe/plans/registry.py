@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyframe.plans import accounts, customers, delivery, loyalty, lookup, reporting, statements, subscription, transactions
 from tallyframe.sources import adapters as a
-from tallyframe.sources.tables import table
+from tallyframe.sources.tables import stack_tagged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,7 +54,7 @@ TRANSACTIONS: dict[str, Query] = {
     "quarterly_target_variance": lambda s, d: transactions.quarterly_target_variance(
         a.bank_transactions(s, d), a.quarterly_targets(s), "URG"
     ),
-    "period_stack_pivot_dedup": lambda s, d: transactions.earliest_customer_record(a.new_customer_facts(s, d), 2023),
+    "period_stack_pivot_dedup": lambda s, d: transactions.earliest_customer_record(stack_tagged(a.new_customer_sheets(s, d), "period"), 2023),
     "monthly_rank_enrichment": lambda s, d: transactions.monthly_rank_enrichment(a.dated_transactions(s, d)),
 }
 
@@ -209,7 +209,7 @@ ACCOUNTS: dict[str, Query] = {
 }
 
 LOOKUP: dict[str, Query] = {
-    "report_lookup": lambda s, d: lookup.report_lookup(a.incident_reports(s, d), 20240115, "NATION_3", "error"),
+    "report_lookup": lambda s, d: lookup.report_lookup(a.incident_reports(s, d), date(2024, 1, 15), "NATION_3", "error"),
     "last_house": lambda s, d: lookup.last_house(a.person(s, d), "Street 7"),
     "name_search": lambda s, d: lookup.name_search(a.person(s, d), "Street 7", "CUSTOMER#0000000"),
     "lookup_by_ids": lambda s, d: lookup.by_ids(a.interviews(s, d), [3, 14]),

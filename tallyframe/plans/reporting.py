@@ -26,7 +26,7 @@ def bank_holidays(lines: DataFrame) -> DataFrame:
 
 def reporting_flags(new_customers: DataFrame, lines: DataFrame) -> DataFrame:
     """Each joining date with its flag and the first reporting day on or after it."""
-    days = new_customers.select(F.to_date("date", "M/d/yy").alias("join_date"), "new_customers")
+    days = new_customers.groupBy(F.to_date("date", "M/d/yy").alias("join_date")).agg(F.sum("new_customers").alias("new_customers"))
     joined = days.join(bank_holidays(lines), F.col("join_date") == F.col("holiday"), "left")
     closed = is_weekend(F.col("join_date")) | F.col("bank_holiday").isNotNull()
     flagged = joined.withColumn("reporting_flag", F.when(closed, "non-reporting day").otherwise("reporting day"))
@@ -62,7 +62,7 @@ def aligned_calendar(home: DataFrame, abroad: DataFrame, lines: DataFrame, leave
 
     The last reporting day of a month already belongs to the next month. A row
     is marked 'x' where the month reported abroad differs or is missing.
-    Missing counts from abroad stay NULL.
+    Missing counts from abroad are 0.
     """
     home_days = customers_per_reporting_day(home, lines)
     away = abroad_days(abroad)
@@ -86,7 +86,7 @@ def aligned_calendar(home: DataFrame, abroad: DataFrame, lines: DataFrame, leave
         F.row_number().over(numbered).alias("reporting_day"),
         "dates",
         "uk_new_customers",
-        "roi_new_customers",
+        F.coalesce("roi_new_customers", F.lit(0).cast("bigint")).alias("roi_new_customers"),
         "roi_reporting_month",
         F.when(differs, "x").alias("misalignment_flag"),
     )

@@ -12,7 +12,7 @@ from tallyframe.operators.scaffold import date_grid
 
 
 def payment_legs(detail: DataFrame, path: DataFrame) -> DataFrame:
-    """Signed movements of all payments that were not cancelled."""
+    """Signed movements of all payments in ``detail`` that were not cancelled."""
     paid = detail.filter("cancelled <> 'Y'").join(path, "transaction_id", "left")
     return signed_legs(paid.select("transaction_date", "account_to", "account_from", "value"), "account_to", "account_from", "value")
 
@@ -27,12 +27,14 @@ def ledger_statement(detail: DataFrame, path: DataFrame, accounts: DataFrame) ->
 def daily_balances(detail: DataFrame, path: DataFrame, accounts: DataFrame, start: date, end: date) -> DataFrame:
     """One row per account and day from ``start`` to ``end``; days without movement have no value.
 
-    Movements are summed per account and day before anything else. What is then
-    gathered per account, and the window over it, is never longer than the
-    asked range of days.
+    Only movements of the asked days are joined and summed, per account and
+    day; what is gathered per account, and the window over it, is never longer
+    than that range. Accounts that moved on other days only are found by a
+    distinct over the ids.
     """
     none = F.lit(None).cast("decimal(18,2)")
-    moves = payment_legs(detail, path).select(
+    asked = F.col("transaction_date").between(F.lit(start), F.lit(end))
+    moves = payment_legs(detail.filter(asked), path).select(
         "account", F.col("transaction_date").alias("date"), F.col("value").alias("moved"), none.alias("opening")
     )
     openings = accounts.select(
@@ -42,6 +44,9 @@ def daily_balances(detail: DataFrame, path: DataFrame, accounts: DataFrame, star
         F.sum("moved").alias("moved"), F.sum("opening").alias("opening")
     )
     in_range = F.when(F.col("date").between(F.lit(start), F.lit(end)), F.struct("date", F.struct("moved", "opening").alias("v")))
+    others = payment_legs(detail.withColumn("value", none), path).select("account").distinct()
+    others = others.select("account", F.lit(None).cast("date").alias("date"), none.alias("moved"), none.alias("opening"))
+    per_day = per_day.unionByName(others)
     known = per_day.groupBy("account").agg(F.map_from_entries(F.collect_list(in_range)).alias("known"))
     grid = date_grid(known, start, end, "date").withColumn("day", F.try_element_at("known", F.col("date")))
     change = F.coalesce("day.moved", F.lit(0)) + F.coalesce("day.opening", F.lit(0))

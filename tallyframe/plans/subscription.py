@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.dates import month_start
+from tallyframe.functions.dates import in_year, month_start
 from tallyframe.functions.numbers import bin_label, percent, round_half_up
 from tallyframe.operators.ranking import top_rows
 from tallyframe.operators.reshape import pivot_named
@@ -41,7 +41,7 @@ def trials_by_month(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def plan_events_after(subscriptions: DataFrame, plans: DataFrame, year: int) -> DataFrame:
-    later = subscriptions.filter(F.year("start_date") > year).groupBy("plan_id").agg(F.count("*").alias("count_of_events"))
+    later = subscriptions.filter(F.col("start_date") >= F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))).groupBy("plan_id").agg(F.count("*").alias("count_of_events"))
     return later.join(plans, "plan_id").select("plan_name", "count_of_events").orderBy(F.col("count_of_events").desc(), "plan_name")
 
 
@@ -97,7 +97,7 @@ def plan_on_date(subscriptions: DataFrame, plans: DataFrame, day: date, digits:
 
 def annual_starts(subscriptions: DataFrame, plans: DataFrame, year: int) -> DataFrame:
     """All starts of the annual plan in the year."""
-    annual = subscriptions.filter(F.year("start_date") == year).join(plans.filter("plan_name = 'pro annual'"), "plan_id")
+    annual = subscriptions.filter(in_year(F.col("start_date"), year)).join(plans.filter("plan_name = 'pro annual'"), "plan_id")
     return annual.agg(F.count("*").alias("upgrades_to_pro_annual"))
 
 
@@ -121,7 +121,7 @@ def days_to_annual_histogram(subscriptions: DataFrame, width: int = 30, bins: in
 
 def downgrades(subscriptions: DataFrame, plans: DataFrame, year: int, old: str = "pro monthly", new: str = "basic monthly") -> DataFrame:
     """Changes from plan ``old`` straight to ``new``, both within the year."""
-    rows = subscriptions.filter(F.year("start_date") == year)
+    rows = subscriptions.filter(in_year(F.col("start_date"), year))
     steps = neighbour_values(rows, ["customer_id"], "start_date", ["change_id"], "plan_id", before="old_id")
     before = plans.select(F.col("plan_id").alias("old_id"), F.col("plan_name").alias("old_plan"))
     after = plans.select("plan_id", F.col("plan_name").alias("new_plan"))

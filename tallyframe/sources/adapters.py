@@ -77,24 +77,24 @@ def quarterly_targets(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, TARGETS, "online_or_inperson string, q1 long, q2 long, q3 long, q4 long")
 
 
-def new_customer_facts(spark: SparkSession, d: str) -> DataFrame:
-    """Three attribute rows per customer and monthly sheet; every tenth customer is in two sheets."""
-    months = F.array(*[F.lit(m) for m in MONTHS])
+def new_customer_sheets(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """A sheet per month with three attribute rows per customer; every tenth customer is in two sheets.
+
+    One sheet spells a column differently, so they only match by position.
+    """
     sheets = "CASE WHEN c_custkey % 10 = 0 THEN array(c_custkey % 12, (c_custkey + 5) % 12) ELSE array(c_custkey % 12) END"
-    return (
-        table(spark, d, "customer")
-        .join(table(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"))
-        .withColumn("sheet", F.explode(F.expr(sheets)))
-        .selectExpr(
+    people = table(spark, d, "customer").join(table(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"))
+
+    def sheet(number: int) -> DataFrame:
+        return people.filter(F.array_contains(F.expr(sheets), F.lit(number).cast("bigint"))).selectExpr(
             "c_custkey AS id",
             "CAST(c_custkey % 28 + 1 AS INT) AS joining_day",
-            "sheet",
             "explode(map('Ethnicity', c_mktsegment, 'Account Type', n_name,"
             " 'Date of Birth', CAST(date_add(DATE'1950-01-01', CAST(c_custkey % 18000 AS INT)) AS STRING)))"
-            " AS (demographic, value)",
+            f" AS ({'demagraphic' if number == 7 else 'demographic'}, value)",
         )
-        .select("id", "joining_day", "demographic", "value", F.get(months, F.col("sheet").cast("int")).alias("period"))
-    )
+
+    return {month: sheet(number) for number, month in enumerate(MONTHS)}
 
 
 def survey_ratings(spark: SparkSession, d: str) -> DataFrame:
@@ -378,6 +378,7 @@ def incident_reports(spark: SparkSession, d: str) -> DataFrame:
         .selectExpr(
             "event_id AS report_id",
             "CAST(date_format(ts, 'yyyyMMdd') AS INT) AS date",
+            "CAST(ts AS DATE) AS day",
             "event_type AS type",
             "props AS description",
             "n_name AS city",
@@ -422,5 +423,5 @@ def drivers_license(spark: SparkSession, d: str) -> DataFrame:
 
 def event_checkins(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").selectExpr(
-        "user_id AS person_id", "event_type AS event_name", "CAST(date_format(ts, 'yyyyMMdd') AS INT) AS date"
+        "user_id AS person_id", "event_type AS event_name", "CAST(ts AS DATE) AS day"
     )

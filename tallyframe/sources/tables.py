@@ -7,19 +7,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-
-_schemas: dict[tuple[str, str], StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A Parquet table. Its schema is read from the files once per application, the list of files every time."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _schemas:
-        _schemas[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[key]).parquet(path)
+    """A Parquet table."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions import dates, geo, numbers, text
-from tallyframe.operators import lookup, nearest, ranking, reshape, scaffold
+from tallyframe.operators import nearest, ranking, reshape, scaffold
 from tallyframe.sources.tables import inline_rows, read_tagged, stack_tagged
 
 
@@ -84,15 +84,9 @@ def test_top_rows_with_ties(spark):
     assert ids(ranking.top_rows(frame, ["k"], order, 2, "rank")) == [1, 2, 5]
     assert ids(ranking.top_rows(frame, ["k"], order, 2, "dense_rank")) == [1, 2, 3, 5]
     assert ids(ranking.top_rows(frame, ["k"], [*order, F.col("id")], 1)) == [1, 5]
-    assert ids(ranking.nth_row(frame, ["k"], [*order, F.col("id")], 2)) == [2]
     assert "WindowGroupLimit" in ranking.top_rows(frame, ["k"], order, 2, "rank")._jdf.queryExecution().executedPlan().toString()
 
 
-def test_repeat_rows(spark):
-    frame = spark.createDataFrame([("a", 2), ("b", 1)], "k string, n long")
-    assert sorted(r.k for r in ranking.repeat_rows(frame, "n").collect()) == ["a", "a", "b"]
-
-
 def test_unpivot_and_pivot_are_inverse_on_values(spark):
     wide = spark.createDataFrame([(1, 10, None), (2, 30, 40)], "id int, x int, y int")
     long = reshape.unpivot_non_null(wide, ["id"], ["x", "y"], "name", "value")
@@ -114,14 +108,6 @@ def test_grid_and_carry_forward(spark):
     assert [r.f for r in out] == [None, 5, 5, 5]
 
 
-def test_small_map_checks_size(spark):
-    table = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "id int, name string")
-    assert lookup.small_map(table, "id", "name", rows=4) is None
-    names = lookup.small_map(table, "id", "name", rows=5)
-    got = values(spark, lookup.named_items(F.col("ids"), names), "ids array<int>", [([4, 0, 9],), (None,)])
-    assert got == [["n0", "n4"], None]
-
-
 def test_stack_tagged_matches_by_position(spark):
     jan = spark.createDataFrame([(1, "x")], "id int, Demographic string")
     feb = spark.createDataFrame([(2, "y")], "id int, Demagraphic string")
