@@ -134,7 +134,7 @@ def miles(a, b):
     return 3963 * math.acos(max(-1.0, min(1.0, c)))
 
 
-@pytest.mark.parametrize("world", ["globe", "clusters", "one site", "edges"])
+@pytest.mark.parametrize("world", ["globe", "clusters", "one site", "edges", "0..360"])
 def test_nearest_site_equals_brute_force(spark, world):
     rng = random.Random(11)
     anywhere = lambda: (rng.uniform(-90, 90), rng.uniform(-180, 180))
@@ -143,6 +143,9 @@ def test_nearest_site_equals_brute_force(spark, world):
     elif world == "clusters":
         points = [(52 + rng.gauss(0, 0.2), 4.9 + rng.gauss(0, 0.2)) for _ in range(60)] + [anywhere() for _ in range(20)]
         sites = [(52 + rng.gauss(0, 0.05), 4.9 + rng.gauss(0, 0.05)) for _ in range(60)]
+    elif world == "0..360":
+        points = [(10.0, 300.0), (10.0, -60.0), (-20.0, 359.0), (5.0, 181.0)]
+        sites = [(95.0, 10.0), (10.0, 300.0), (10.0, 150.0), (-20.0, 2.0), (5.0, 179.0)]
     elif world == "one site":
         points, sites = [anywhere() for _ in range(30)], [(-33.9, 151.2)]
     else:
@@ -156,6 +159,6 @@ def test_nearest_site_equals_brute_force(spark, world):
         if row.p == 999:
             assert row.site is None and row.distance is None
             continue
-        best = min((round(miles(points[row.p], s), 3), i) for i, s in enumerate(sites))
+        best = min((round(miles(points[row.p], s), 3), i) for i, s in enumerate(sites) if abs(s[0]) <= 90)
         assert abs(row.distance - best[0]) < 0.0011
         assert row.site == best[1] or abs(miles(points[row.p], sites[row.site]) - best[0]) < 0.0011

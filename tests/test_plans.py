@@ -440,3 +440,91 @@ def test_lookups(spark):
     members = spark.createDataFrame([("12q1", 1, "gold"), ("12Q2", 2, "silver"), ("49Z3", 3, "gold")], "id string, person_id int, membership_status string")
     cars = spark.createDataFrame([(10, "0k77X0"), (11, "K77X"), (12, "K77X")], "id int, plate_number string")
     assert rows(lookup.member_plate_match(members, people, cars, "12Q", "gold", "K77X")) == [("Ann P", 1)]
+
+
+# --- rules that hold on every size --------------------------------------------
+
+
+def test_unknown_and_doubled_toppings(shop, spark):
+    lines = spark.createDataFrame(
+        [(1, 1, "98", "1, 99", 0, 0), (2, 1, "2", "98,99", 0, 0)],
+        "order_id int, pizza_id int, exclusions string, extras string, line_slice int, line_sort int",
+    )
+    doubled = shop["toppings"].union(spark.createDataFrame([(1, "Ham")], "topping_id int, topping_name string"))
+    label = lambda toppings: sorted(r.label for r in delivery.order_item_labels(lines, shop["headers"], shop["names"], toppings).collect())
+    assert label(shop["toppings"]) == ["Meatlovers - Exclude Cheese", "Meatlovers - Extra Bacon"]
+    assert label(doubled) == ["Meatlovers - Exclude Cheese", "Meatlovers - Extra Bacon, Ham"]
+    many = shop["toppings"].union(spark.range(1000, 2500).selectExpr("CAST(id AS INT) AS topping_id", "concat('T', id) AS topping_name"))
+    assert label(many) == label(shop["toppings"])
+    bare = spark.createDataFrame([(1, "97")], "pizza_id int, toppings string")
+    out = delivery.ingredient_lists(lines.filter("order_id = 2"), shop["headers"], shop["names"], bare, shop["toppings"])
+    assert [r.ingredient_list for r in out.collect()] == ["Meatlovers: "]
+
+
+def test_undated_movement_comes_first(spark):
+    from tallyframe.operators.ledger import statement
+
+    legs = make(spark, [(1, date(2024, 1, 2), 10), (1, None, 7)], "account int, transaction_date date, value decimal(18,2)")
+    openings = make(spark, [(1, date(2024, 1, 1), 100)], "account int, transaction_date date, balance decimal(18,2)")
+    assert sorted(r.balance for r in statement(legs, openings).collect()) == [7, 107, 117]
+
+
+def test_units_in_any_case(spark):
+    trips = spark.createDataFrame(
+        [(1, 1, "2020-01-01 18:15:34", "10KM", "20 Minutes", None), (2, 1, "2020-01-01 18:15:34", "10 km", "20", None)],
+        "order_id int, runner_id int, pickup_time string, distance string, duration string, cancellation string",
+    )
+    assert rows(delivery.duration_spread(trips)) == [(20.0, 20.0, 0.0)]
+    odd = trips.selectExpr("order_id", "runner_id", "pickup_time", "'1.2.3' AS distance", "duration", "cancellation")
+    with pytest.raises(SparkRuntimeException, match="not a number"):
+        odd.select(delivery.leading_number(odd["distance"])).collect()
+
+
+def test_rewritten_table_shows_its_new_columns(spark, tmp_path):
+    from tallyframe.sources.tables import table
+
+    spark.range(2).write.parquet(f"{tmp_path}/t.parquet")
+    assert table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(2).selectExpr("id", "id AS b").write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
+    assert table(spark, str(tmp_path), "t").columns == ["id", "b"]
+
+
+@pytest.mark.parametrize(
+    "name, bound",
+    [
+        ("annual_starts", "LessThan(ts"),
+        ("plan_events_after", "GreaterThanOrEqual(ts"),
+        ("downgrades", "LessThan(ts"),
+        ("report_lookup", "LessThan(ts"),
+        ("attendance_profile", "LessThan(ts"),
+        ("daily_balance_scaffold", "LessThan(ts"),
+        ("daily_balance_series", "LessThan(ts"),
+    ],
+)
+def test_dates_reach_the_scan(spark, name, bound):
+    from tallyframe.plans.registry import QUERIES
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert bound in plan[plan.index("PushedFilters") :], plan
+
+
+def test_a_large_key_among_small_ones(spark):
+    """A third of the rows in one key, NULLs in every nullable column: against DuckDB."""
+    import duckdb
+
+    from tallyframe.operators.running import fill_down, running_sum
+
+    data = spark.range(6000).selectExpr(
+        "id",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('k', id % 40) END AS k",
+        "CASE WHEN id % 17 = 0 THEN NULL ELSE CAST(id * 7919 % 30 AS INT) END AS day",
+        "CASE WHEN id % 5 = 0 THEN NULL ELSE CAST(id % 11 AS INT) END AS v",
+    )
+    con = duckdb.connect()
+    con.register("t", data.toPandas().astype({"day": "Int64", "v": "Int64"}))
+    over = "OVER (PARTITION BY k ORDER BY day NULLS FIRST, id ROWS UNBOUNDED PRECEDING)"
+    want = con.sql(f"SELECT id, CAST(coalesce(sum(v) {over}, 0) AS BIGINT), CAST(last_value(v IGNORE NULLS) {over} AS BIGINT) FROM t").fetchall()
+    out = running_sum(data, ["k"], "day", ["id"], "v", "s")
+    out = fill_down(out, ["k"], "day", ["id"], "v", "f")
+    assert sorted((r.id, r.s, r.f) for r in out.collect()) == sorted(want)
