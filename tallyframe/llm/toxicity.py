@@ -41,6 +41,7 @@ _LEET = bytes.maketrans(b"0134578@", b"oieastbo")
 _MIXED = re.compile(rb"[a-z][0-9]|[0-9][a-z]")
 _LENGTHS = range(3, 8)  # bytes of word beginnings
 GROUPS = 8
+VOTE_WORDS, FULL_WORDS = 200, 40
 
 _LISTS = {w.encode(): i for i, words in enumerate(LEXICONS.values()) for w in words.split()}
 _DISGUISED = len(LEXICONS)
@@ -55,7 +56,12 @@ def word_features(word: bytes) -> list[bytes]:
 
 
 class Reader:
-    """Turns a text into the numbers of its voters and features; what a word gives is kept in a bounded dictionary."""
+    """Turns a text into votes and feature values; what a word gives is kept in a bounded dictionary.
+
+    A voter votes if its words are one in VOTE_WORDS at least. A feature's
+    value is the share of its words, 1 from one in FULL_WORDS on. So a few
+    chance hits in a long text count for little.
+    """
 
     def __init__(self, features: list[bytes], groups: dict[bytes, int], limit: int = 300_000) -> None:
         self.features = {f: i + N_VOTERS for i, f in enumerate(features)}
@@ -72,20 +78,27 @@ class Reader:
                 out.add(_FIRST_GROUP + self.groups[f])
         return tuple(out)
 
-    def __call__(self, text: bytes | None) -> set[int]:
-        known, words, out = self.known, plain_words(text), set()
+    def __call__(self, text: bytes | None) -> dict[int, float]:
+        """Values by number: 1 for each voter that votes, and those of the features."""
+        known, words, hits = self.known, plain_words(text), Counter()
         if len(known) > self.limit:
             known.clear()
-        for w in set(words):
+        for w, n in Counter(words).items():
             ids = known.get(w)
             if ids is None:
                 ids = known[w] = self._of(w)
-            if ids:
-                out.update(ids)
+            for j in ids:
+                hits[j] += n
         line = b" " + b" ".join(words) + b" "
         for voter, phrases in _PHRASES:
-            if any(p in line for p in phrases):
-                out.add(voter)
+            if n := sum(line.count(p) for p in phrases):
+                hits[voter] = n
+        out = {}
+        for j in sorted(hits):
+            if j >= N_VOTERS:
+                out[j] = min(1.0, FULL_WORDS * hits[j] / len(words))
+            elif VOTE_WORDS * hits[j] >= len(words):
+                out[j] = 1.0
         return out
 
 
@@ -151,7 +164,7 @@ def _moments(docs: DataFrame, model, train) -> tuple[int, np.ndarray]:
             "n": pa.array(np.append(pairs[j, k], len(texts)), pa.int64()),
         }
 
-    def reader(text: bytes | None) -> set[int]:
+    def reader(text: bytes | None) -> dict[int, float]:
         return model.value(text)
 
     sums = map_rows(docs.where(train), {"text": "string"}, work, "j int, k int, n bigint").groupBy("j", "k")
@@ -273,14 +286,19 @@ def score_toxicity(
         return docs.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *keep)
 
     def read(toxic: list, texts: list) -> dict[str, pa.Array]:
-        found = [sorted(model.value(t)) for t in texts]
-        return {"toxic": pa.array(toxic, pa.int32()), "found": pa.array(found, pa.list_(pa.int32()))}
+        found = [model.value(t) for t in texts]
+        return {
+            "toxic": pa.array(toxic, pa.int32()),
+            "found": pa.array([list(f) for f in found], pa.list_(pa.int32())),
+            "values": pa.array([list(f.values()) for f in found], pa.list_(pa.float64())),
+        }
 
-    rows = map_rows(sample, {"toxic": "int", "text": "string"}, read, "toxic int, found array<int>").collect()
-    rows.sort(key=lambda r: (r["toxic"], r["found"]))  # the order that tasks end in must not matter
+    kinds = "toxic int, found array<int>, values array<double>"
+    rows = map_rows(sample, {"toxic": "int", "text": "string"}, read, kinds).collect()
+    rows.sort(key=lambda r: (r["toxic"], r["found"], r["values"]))  # the order that tasks end in must not matter
     toxic, x = np.array([r["toxic"] for r in rows]), np.zeros((len(rows), N_VOTERS + len(features)))
     for i, r in enumerate(rows):
-        x[i, r["found"]] = 1
+        x[i, r["found"]] = r["values"]
     label_model = LabelModel(*_moments(docs, model, train), prior=float(np.clip(toxic.mean(), 0.01, 0.5)))
     w = fit_linear(x, label_model.posterior(x[:, :N_VOTERS]))
     z = x @ w[:-1] + w[-1]
@@ -291,7 +309,7 @@ def score_toxicity(
 
     def work(ids: list, texts: list, held: list, *kept: list) -> dict[str, pa.Array]:
         w = linear.value
-        z = np.array([w[-1] + sum(w[j] for j in sorted(model.value(t))) for t in texts])
+        z = np.array([w[-1] + sum(w[j] * v for j, v in model.value(t).items()) for t in texts])
         score = 1 / (1 + np.exp(-np.clip(z - shift, -30, 30))) if len(z) else z
         return {
             "doc_id": pa.array(ids, pa.int64()),
