@@ -1,5 +1,10 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from __future__ import annotations
+
+from tallyframe.llm.common import plain_words
+from tallyframe.llm.license_join import PHRASES, TEMPLATES
+
 CHECKS: dict[str, str] = {}
 
 CHECKS["op4_suffix_automaton"] = r"""
@@ -26,3 +31,57 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) A
   sha256(coalesce(i.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h ON h.r = d.r LEFT JOIN i ON i.r = d.r
 """
+
+
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _license_sql() -> str:
+    """Every window of every line against every template by plain set operations, without the filters of the join."""
+    words = lambda text: (
+        f"list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+    )
+    size = max(len(t.split()) for t in TEMPLATES)
+    templates = ", ".join(
+        f"({k}, '{label}', {_list(sorted({w.decode() for w in plain_words(t.encode())}))})"
+        for k, (t, label) in enumerate(TEMPLATES.items())
+    )
+    phrases = ", ".join(f"('{label}', {_list(p.split())})" for p, label in PHRASES.items())
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, {words('t')} AS words FROM d),
+p(label, ws) AS (VALUES {phrases}),
+places AS (
+  SELECT r, label, i - 1 AS start FROM (SELECT r, words, unnest(generate_series(1, len(words))) AS i FROM w), p
+  WHERE words[i] = ws[1] AND words[i : i + len(ws) - 1] = ws),
+base AS (
+  SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY r),
+lines AS (SELECT r, {words('line')} AS words FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
+cut AS (
+  SELECT r, words AS block FROM lines WHERE len(words) BETWEEN 1 AND {2 * size}
+  UNION ALL
+  SELECT r, words[i + 1 : i + {2 * size}] FROM (
+    SELECT r, words, unnest(range(0, len(words) - {size}, {size})) AS i FROM lines WHERE len(words) > {2 * size})),
+b AS (SELECT row_number() OVER () AS id, r, block FROM cut),
+t(k, label, ws) AS (VALUES {templates}),
+m AS (
+  SELECT id, r, k, label, len(ws) AS n, len(list_intersect(ws, block)) AS common FROM b, t
+  WHERE len(list_intersect(ws, block)) >= ceil(0.85 * len(ws) - 1e-9)),
+best AS (
+  SELECT r, label, common / n AS share FROM m
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY common / n DESC, n DESC, k) = 1),
+found AS (SELECT r, max(share) AS score, count(*) AS n_blocks FROM best GROUP BY r),
+named AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM places UNION SELECT r, label FROM best) GROUP BY r)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score,
+  coalesce(n_blocks, 0) AS n_blocks
+FROM w LEFT JOIN base USING (r) LEFT JOIN found USING (r) LEFT JOIN named USING (r)
+"""
+
+
+CHECKS["op3_license_join"] = _license_sql()
