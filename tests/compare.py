@@ -47,7 +47,7 @@ def compare(df, con, sql: str) -> list[str]:
     problems = []
     if len(got) != len(expected):
         problems.append(f"rows {len(got)} != {len(expected)}")
-    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+    same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     for name, kind in df.dtypes:
         if same.get(kind, kind) != types[name].split("[")[0]:
             problems.append(f"type of {name}: {kind} != {types[name]}")
