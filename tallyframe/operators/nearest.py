@@ -1,12 +1,12 @@
 """Nearest site by great-circle distance, without pairing all points with all sites.
 
-Points and sites are both summarised in square degree cells on four levels, a
-cell holding eight by eight cells of the next level. From the coarsest level
-down, each cell with points keeps only the cells with sites that may hold the
-nearest site of any of its points: a real site in one of them gives an upper
-bound, the gap between two cells a lower bound. All this works on cells; only
-at the end do the points meet the sites in the few cells left for their own
-cell, which are compared exactly.
+Points and sites are both summarised in square degree cells on six levels, a
+cell holding eight by eight cells of the next level, down to about 250 feet.
+From the coarsest level down, each cell with points keeps only the cells with
+sites that may hold the nearest site of any of its points: a real site in one
+of them gives an upper bound, the gap between two cells a lower bound. All this
+works on cells; only at the end do the points meet the sites in the few cells
+left for their own cell, which are compared exactly.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tallyframe.functions.geo import EARTH_MILES, great_circle_miles
 
 # The finest cell edge in degrees and how far each level is above it (as powers of two).
-LEAF_DEGREES = 180.0 / 2**12
-LEVELS = (9, 6, 3, 0)
+LEAF_DEGREES = 180.0 / 2**18
+LEVELS = (15, 12, 9, 6, 3, 0)
 # Fixed value: a level with no more cells than this on the whole earth is small enough to broadcast.
 _BROADCAST_CELLS = 1_000_000
 # Distances are compared to a thousandth of a mile: the cosine formula itself is

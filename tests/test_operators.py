@@ -162,3 +162,14 @@ def test_nearest_site_equals_brute_force(spark, world):
         best = min((round(miles(points[row.p], s), 3), i) for i, s in enumerate(sites) if abs(s[0]) <= 90)
         assert abs(row.distance - best[0]) < 0.0011
         assert row.site == best[1] or abs(miles(points[row.p], sites[row.site]) - best[0]) < 0.0011
+
+
+def test_nearest_site_in_one_dense_place(spark):
+    """Many points and sites within two miles: each point meets few of the sites."""
+    rng = random.Random(5)
+    near = lambda n: [(52 + rng.uniform(0, 0.03), 4.9 + rng.uniform(0, 0.03)) for _ in range(n)]
+    points, sites = near(300), near(400)
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "p int, lat double, long double")
+    places = spark.createDataFrame([(i, *s) for i, s in enumerate(sites)], "site int, slat double, slong double")
+    for row in nearest.nearest_site(frame, places, "lat", "long", "site", "slat", "slong").collect():
+        assert abs(row.distance - min(miles(points[row.p], s) for s in sites)) < 0.0011
