@@ -236,7 +236,8 @@ def near_duplicate_classes(
     when what is still apart is compared.
     """
     signed = stored(_signed(docs.select("doc_id", "text"), size), "signed")
-    copies = signed.where("same is not null").groupBy("same").agg(F.min("row").alias("rep"), F.count("*").alias("n"))
+    # Tables of one row per group are written before rows join them: then Spark can split a large group.
+    copies = stored(signed.where("same is not null").groupBy("same").agg(F.min("row").alias("rep")), "copies")
     member = signed.where("same is not null").select("row", "same").join(copies, "same").select("row", "rep")
     member = stored(member, "member")
     reps = stored(signed.join(member.where("row = rep").select("row"), "row").select("row", "bands", "marks"), "reps")
@@ -290,7 +291,7 @@ def near_duplicate_classes(
         F.count("*").alias("class_size"),
         F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("_kept"),
     )
-    return named.join(first, "class").select(
+    return named.join(stored(first, "classes"), "class").select(
         "row", "doc_id", "key", "class_id", "class_size", (F.col("row") == F.col("_kept")).alias("kept")
     )
 
