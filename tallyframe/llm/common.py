@@ -83,8 +83,8 @@ def map_rows(
     return selected.mapInArrow(run, schema)
 
 
-def _bounded(batch: pa.RecordBatch, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of at most about 16 MB, so that batches of very long texts do not fill a worker's memory."""
+def _bounded(batch: pa.RecordBatch, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about `size` bytes at most, so that batches of very long texts do not fill a worker's memory."""
     n, parts = batch.num_rows, max(1, -(-batch.nbytes // size))
     step = max(1, -(-n // parts))
     for i in range(0, n, step):
@@ -94,7 +94,7 @@ def _bounded(batch: pa.RecordBatch, size: int = 16 << 20) -> Iterator[pa.RecordB
 class WordHash:
     """64-bit hashes of words, kept in a dictionary of bounded size."""
 
-    def __init__(self, seed: int = 0, limit: int = 400_000) -> None:
+    def __init__(self, seed: int = 0, limit: int = 200_000) -> None:
         self.seed, self.limit, self.known = seed, limit, {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:

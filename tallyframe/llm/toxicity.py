@@ -63,7 +63,7 @@ class Reader:
     chance hits in a long text count for little.
     """
 
-    def __init__(self, features: list[bytes], groups: dict[bytes, int], limit: int = 300_000) -> None:
+    def __init__(self, features: list[bytes], groups: dict[bytes, int], limit: int = 100_000) -> None:
         self.features = {f: i + N_VOTERS for i, f in enumerate(features)}
         self.groups, self.limit, self.known = groups, limit, {}
 
