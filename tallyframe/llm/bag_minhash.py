@@ -31,6 +31,11 @@ REGISTERS, BANDS = 64, 16
 _STEP, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
+def _steps(n: int, step: np.uint64) -> np.uint64:
+    """n steps, modulo 2 ** 64."""
+    return np.uint64(n * int(step) % 2**64)
+
+
 def shingle_counts(words: list[bytes], hashes: WordHash, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles (hashes, ascending) and how often each stands; a shorter text is one shingle."""
     if not words:
@@ -59,17 +64,17 @@ def signatures(owner: np.ndarray, shingles: np.ndarray, counts: np.ndarray, n: i
             break
         width = np.full(there.sum(), 1 if level == 0 else low, np.float64)
         share = np.minimum((counts[there] - low) / width, 1.0)
-        parts.append((owner[there], mixed(shingles[there] + np.uint64(level + 1) * _LEVEL), width, share))
+        parts.append((owner[there], mixed(shingles[there] + _steps(level + 1, _LEVEL)), width, share))
     if not parts:
         return registers.reshape(n, REGISTERS)
     who, seed, width, share = (np.concatenate(x) for x in zip(*parts, strict=True))
     time, i = np.zeros(len(who)), 0
     while len(who):
-        time = time - np.log(uniform(mixed(seed + np.uint64(2 * i + 1) * _STEP))) / width
+        time = time - np.log(uniform(mixed(seed + _steps(2 * i + 1, _STEP)))) / width
         latest = registers.reshape(n, REGISTERS).max(1)
         live = time <= latest[who]
         who, seed, width, share, time = who[live], seed[live], width[live], share[live], time[live]
-        point = mixed(seed + np.uint64(2 * i + 2) * _STEP)
+        point = mixed(seed + _steps(2 * i + 2, _STEP))
         hit = uniform(point) <= share
         np.minimum.at(registers, (who * REGISTERS + (point & np.uint64(REGISTERS - 1)).astype(np.int64))[hit], time[hit])
         i += 1
