@@ -63,7 +63,7 @@ CUSTOMERS: dict[str, Query] = {
     "split_holders_join": lambda s, d: customers.holder_payments(
         a.account_information(s, d), a.account_holders(s, d), a.payment_path(s, d), a.payment_detail(s, d), min_value=100
     ),
-    "band_and_top5": lambda s, d: customers.banded_purchases(a.share_purchases(s, d), 2023),
+    "band_and_top5": lambda s, d: customers.banded_purchases(stack_tagged(a.share_sheets(s, d), "file"), 2023),
     "nearest_site_priority": lambda s, d: customers.branch_priorities(a.customer_locations(s, d), a.branches(s, d)),
 }
 

@@ -143,10 +143,10 @@ def payment_detail(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def share_purchases(spark: SparkSession, d: str) -> DataFrame:
+def share_sheets(spark: SparkSession, d: str) -> dict[int, DataFrame]:
+    """A sheet of purchases per month; one spells a column differently, so they only match by position."""
     cents = "(p_partkey * 7919) % 10000001"
-    return table(spark, d, "part").selectExpr(
-        "CAST(p_partkey % 12 + 1 AS INT) AS file",
+    columns = [
         "CASE WHEN p_partkey % 10 = 9 THEN 'n/a'"
         " WHEN p_partkey % 4 = 0 THEN concat('$', p_partkey % 997 + 1, '.5B')"
         " WHEN p_partkey % 4 = 3 THEN concat('$', (p_partkey % 997 + 1) * 1000000)"
@@ -156,7 +156,10 @@ def share_purchases(spark: SparkSession, d: str) -> DataFrame:
         "p_type AS sector",
         "p_brand AS market",
         "p_name AS stock_name",
-    )
+    ]
+    parts = table(spark, d, "part")
+    sheets = {month: parts.filter(f"p_partkey % 12 + 1 = {month}").selectExpr(*columns) for month in range(1, 13)}
+    return sheets | {5: sheets[5].withColumnRenamed("stock_name", "stockname")}
 
 
 # --- places and calendars ----------------------------------------------------
