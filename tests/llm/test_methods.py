@@ -219,6 +219,44 @@ def test_passages_brute(spark, texts):
     assert all(not out[i]["spans"] for i in alone if all(len(own[h]) == 1 for h in runs[i]))
 
 
+def test_passages_around_other_text(spark):
+    number = itertools.count()
+    own = lambda n: [f"w{next(number)}" for _ in range(n)]
+    docs = []
+    for gap in (40, 60, 80, 100, 120):
+        for other in (40, 120):
+            p, q = own(60), own(60)
+            docs += [own(9) + p + own(gap) + q + own(7), own(5) + p + own(other) + q + own(30)]
+    p, q, r = own(500), own(500), own(60)
+    docs += [p + own(300) + q, own(20) + p + own(290) + q]  # gaps of more than 200 words
+    p, q = own(60), own(60)
+    docs += [p + own(50) + r + own(50) + q, p + own(40) + q + own(40) + r]  # r stands inside the gap of one text only
+    got = {row["doc_id"]: row["spans"] for row in passages.repeated_passages(frame(spark, [" ".join(d) for d in docs])).collect()}
+    for i, words in enumerate(docs):  # words are used once: the runs that follow one another in both texts
+        there = {w: j for j, w in enumerate(docs[i ^ 1])}
+        runs: list[list[int]] = []
+        for j, w in enumerate(words):
+            if w in there:
+                if runs and runs[-1][1] == j and there[w] == there[words[j - 1]] + 1:
+                    runs[-1][1] = j + 1
+                else:
+                    runs.append([j, j + 1])
+        assert got[i] == ",".join(f"{a}:{b}" for a, b in runs if b - a >= 50)
+
+
+def test_common_words_of_gaps():
+    rng = np.random.default_rng(3)
+    for n, m in ((0, 5), (5, 0), (9, 9), (30, 50), (300, 250)):
+        x, y = rng.integers(0, 9, n).astype(np.uint16), rng.integers(0, 9, m).astype(np.uint16)
+        best = [0] * (m + 1)
+        for w in x:
+            row = [0]
+            for j in range(m):
+                row.append(best[j] + 1 if y[j] == w else max(best[j + 1], row[j]))
+            best = row
+        assert passages._common(x, y) == best[m]
+
+
 def test_chain_is_best():
     rng = random.Random(9)
     for _ in range(200):
