@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -221,41 +222,82 @@ def remove_benchmark_spans(
     """docs(doc_id, text, lang, source, n_chars) without benchmark runs of `window` words or more.
 
     Such runs are cut out of the text, from the first to the last hit word; a
-    document with more than `max_coverage` of its words hit goes as a whole.
-    What a cut brings together is looked at again until nothing is hit. Rows
-    without a hit, null texts among them, stay as they are.
+    document with more than `max_coverage` of its words hit, by items of all
+    blocks together, goes as a whole. What a cut brings together is looked at
+    again, with all blocks, until nothing is hit. Rows without a hit, null
+    texts among them, stay as they are.
     """
-    spark, rows = docs.sparkSession, docs.select("doc_id", "text", "lang", "source", "n_chars")
+    rows, done = docs.select("doc_id", "text", "lang", "source", "n_chars"), []
+    while True:
+        rows, several = _without_hits(rows, benchmark, window, None if done else max_coverage, block_words)
+        if not several:
+            return rows.drop("cut")
+        rows = stored(rows, "cut")
+        done.append(rows.where("not cut").drop("cut"))
+        rows = rows.where("cut").drop("cut")
+        if rows.isEmpty():
+            return reduce(DataFrame.unionAll, done)
+
+
+def _without_hits(
+    rows: DataFrame, benchmark: DataFrame, window: int, max_coverage: float | None, block_words: int
+) -> tuple[DataFrame, bool]:
+    """rows without the hits of all blocks, with `cut` (whether a row had any), and whether there are several blocks.
+
+    Rows with more than `max_coverage` of their words hit are left out, none if
+    it is None. With a single block a row is cut until nothing is hit.
+    """
+    spark, again = rows.sparkSession, False
     kinds = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
-    for block in item_blocks(benchmark, block_words):
+    found_kinds = {"starts": "array<int>", "ends": "array<int>"}
+    blocks = item_blocks(benchmark, block_words)
+    block, following = next(blocks, []), next(blocks, None)
+    several = following is not None
+    while True:
         model = spark.sparkContext.broadcast(ItemAutomaton(block, window))
+        last = following is None
 
-        def work(ids: list, texts: list, langs: list, sources: list, sizes: list, model=model) -> dict[str, pa.Array]:
+        def work(
+            ids: list, texts: list, langs: list, sources: list, sizes: list, *before: list, model=model, again=again, last=last
+        ) -> dict[str, pa.Array]:
             kept = []
-            for row in zip(ids, texts, langs, sources, sizes, strict=True):
+            for k, row in enumerate(zip(ids, texts, langs, sources, sizes, strict=True)):
                 text, n_chars = row[1], row[4]
                 words = plain_words(text)
                 spans, _ = model.value.matches(words)
-                if spans:
-                    if sum(b - a for a, b in spans) > max_coverage * len(words):
+                if again:
+                    spans = _merged(spans + list(zip(before[0][k], before[1][k], strict=True)))
+                cut = bool(spans)
+                if last and cut:
+                    if max_coverage is not None and sum(b - a for a, b in spans) > max_coverage * len(words):
                         continue
                     while spans:
                         text = cut_words(text, spans)
-                        spans, _ = model.value.matches(plain_words(text))
+                        spans = [] if several else model.value.matches(plain_words(text))[0]
                     n_chars = len(text.decode("utf-8", "replace"))
-                kept.append((row[0], text, row[2], row[3], n_chars))
-            ids, texts, langs, sources, sizes = zip(*kept, strict=True) if kept else [[]] * 5
+                kept.append((row[0], text, row[2], row[3], n_chars, cut, [a for a, _ in spans], [b for _, b in spans]))
+            ids, texts, langs, sources, sizes, cuts, starts, ends = zip(*kept, strict=True) if kept else [[]] * 8
             string = lambda x: pa.array(x, pa.binary()).cast(pa.string())
-            return {
+            out = {
                 "doc_id": pa.array(ids, pa.int64()),
                 "text": string(texts),
                 "lang": string(langs),
                 "source": string(sources),
                 "n_chars": pa.array(sizes, pa.int64()),
             }
+            if last:
+                return out | {"cut": pa.array(cuts, pa.bool_())}
+            return out | {
+                "starts": pa.array(starts, pa.list_(pa.int32())),
+                "ends": pa.array(ends, pa.list_(pa.int32())),
+            }
 
-        rows = map_rows(rows, kinds, work, ", ".join(f"{n} {t}" for n, t in kinds.items()))
-    return rows
+        schema = ", ".join(f"{n} {t}" for n, t in (kinds | ({"cut": "boolean"} if last else found_kinds)).items())
+        rows = map_rows(rows, kinds | (found_kinds if again else {}), work, schema)
+        if last:
+            return rows, several
+        rows, again = stored(rows, "hits"), True
+        block, following = following, next(blocks, None)
 
 
 def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:

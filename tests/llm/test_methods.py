@@ -172,6 +172,31 @@ def test_benchmark_in_blocks_and_removal(spark, texts):
     assert clean <= {r["doc_id"] for r in left.collect()}
 
 
+def test_removal_is_the_same_in_blocks(spark):
+    number = itertools.count()
+    own = lambda n: [f"w{next(number)}" for _ in range(n)]
+    a, b, c = own(40), own(40), own(40)
+    items = spark.createDataFrame([(f"i{k}", " ".join(x)) for k, x in enumerate((a, b, c, own(4)))], "item_id string, text string")
+    p, q = own(50), own(50)
+    docs = [
+        own(20) + a[:15] + own(5) + b[:15],  # 15 + 15 of 55 words, more than half
+        own(40) + a[:30] + own(30) + b[5:35] + own(30),  # 60 of 160 words
+        p + a[:6] + b[:12] + a[6:12] + q,  # what a cut joins is hit by another block
+        p + b[:6] + a[:12] + b[6:12] + q,
+        p + c[:4] + b[:6] + a[:12] + b[6:12] + c[4:12] + q,
+        own(30),
+        [],
+    ]
+    rows = frame(spark, [" ".join(d) for d in docs] + [None])
+    one = decontaminate.remove_benchmark_spans(rows, items)
+    left = decontaminate.remove_benchmark_spans(rows, items, block_words=50)
+    got = {r["doc_id"]: r["text"] for r in left.collect()}
+    assert sorted(left.collect(), key=lambda r: r["doc_id"]) == sorted(one.collect(), key=lambda r: r["doc_id"])
+    assert sorted(got) == [1, 2, 3, 4, 5, 6, 7]
+    assert [got[i].split() for i in (2, 3, 4)] == [p + q] * 3
+    assert decontaminate.find_benchmark_words(left, items).where("contaminated").count() == 0
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(6)
     plain = [f"{a}{b}" for a in ("ba", "do", "ki", "lu", "me") for b in ("ran", "tos", "vil", "pum", "gar", "len")]
