@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.running import cut_groups, with_carry
+from tallyframe.operators.ranges import Cuts, free_name
+from tallyframe.operators.running import fill_down, fill_up
 
 
 def asof_join(
@@ -16,69 +17,42 @@ def asof_join(
     by: Sequence[str],
     time: str,
     take: Sequence[str],
-    slice_by: str,
     direction: str = "forward",
     strict: bool = True,
+    cuts: Cuts | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Every left row with the ``take`` columns of the closest right row of the same key.
 
     ``forward`` looks for the first later right row, ``backward`` for the last
-    earlier one; ``strict`` leaves equal times out. Both sides hold ``by``,
-    ``time`` and ``slice_by``, a column that never decreases with ``time`` (its
-    day, say). Left rows without a match keep NULLs; a NULL key or time on either
-    side matches nothing. Among right rows of the
-    same time the smallest ``take`` wins looking forward, the largest backward.
-
-    The two sides are stacked and read once per (key, slice); the match from beyond the slice then comes in
-    as one carried row. There is neither a range join nor a large key in one task.
+    earlier one; ``strict`` leaves equal times out. Both sides hold ``by`` and
+    ``time``; ``by`` may be empty: then all rows are one group. Left rows without
+    a match keep NULLs; a NULL key or time on either side matches nothing. Among
+    right rows of the same time the smallest ``take`` wins looking forward, the
+    largest backward.
+
+    The two sides are stacked and walked in even pieces of (key, time), each one
+    a task; the match from beyond a piece is one carried row. There is neither a
+    range join nor a large key, nor a table without a key, in one task.
     """
     forward = direction == "forward"
-    # The window walks towards the match: backwards in time for "forward".
-    pick = F.min if forward else F.max
-    along = F.desc if forward else F.asc
-    # Rows that come later in the walk see the earlier ones, so with ``strict`` left rows go first at equal times.
-    left_side, right_side = (1, 2) if strict else (2, 1)
-    hit = F.struct(F.col(time), *[F.col(c) for c in take])
-    stacked = left.withColumn("_side", F.lit(left_side)).unionByName(
-        right.dropna(subset=[*by, time]).select(*by, time, slice_by, hit.alias("_hit"), F.lit(right_side).alias("_side")), allowMissingColumns=True
-    )
-    rows = cut_groups(stacked, slice_by)
-    beyond = Window.partitionBy(*by).orderBy(along("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        rows.groupBy(*by, "_slice")
-        .agg(pick("_hit").alias("_hit"))
-        .select(*by, "_slice", F.last("_hit", ignorenulls=True).over(beyond).alias("_hit"))
-        .filter(F.col("_hit").isNotNull())
-    )
-    walk = (
-        Window.partitionBy(*by, "_slice")
-        .orderBy("_own", along(time), "_side", along("_hit"))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    found = (
-        with_carry(rows, carry)
-        .withColumn("_found", F.last("_hit", ignorenulls=True).over(walk))
-        .filter((F.col("_own") == 1) & (F.col("_side") == left_side))
+    stack_names = left.select("*", *[F.lit(None).alias(c) for c in right.columns])
+    side, hit, found = (free_name(stack_names, name) for name in ("_side", "_hit", "_found"))
+    # Looking forward the walk goes down in time. Rows that come later in the walk see the
+    # earlier ones, so with ``strict`` right rows come after left rows in it, else before them.
+    right_first = (not strict) != forward
+    left_side, right_side = (1, 0) if right_first else (0, 1)
+    rows = right.dropna(subset=[*by, time]).select(
+        *by, time, F.lit(right_side).alias(side), F.struct(*[F.col(c) for c in take]).alias(hit)
     )
-    return found.select(*left.columns, *[F.when(F.col(time).isNotNull(), F.col(f"_found.{c}")).alias(c) for c in take])
+    stacked = left.withColumn(side, F.lit(left_side)).unionByName(rows, allowMissingColumns=True)
+    # Equal times are one place of the order on each side; `take` decides among them.
+    walk = fill_up if forward else fill_down
+    out = walk(stacked, by, [time, side, hit], hit, found, cuts, ranges).filter(F.col(side) == left_side)
+    return out.select(*left.columns, *[F.when(F.col(time).isNotNull(), F.col(found)[c]).alias(c) for c in take])
 
 
-def next_in_list(days: DataFrame, day: str, marks: DataFrame, mark: str, out: str, strict: bool) -> DataFrame:
-    """Calendar form without a key: each date of ``days`` with the next date in ``marks``.
-
-    Both inputs hold one row per date, so the single sorted pass is bounded by
-    the length of the calendar, not by the data.
-    """
-    stacked = (
-        days.select(day).distinct().withColumn("_side", F.lit(1 if strict else 2)).withColumn("_mark", F.lit(None).cast("date"))
-        .unionByName(
-            marks.select(F.col(mark).alias(day), F.lit(2 if strict else 1).alias("_side"), F.col(mark).alias("_mark"))
-        )
-    )
-    window = Window.orderBy(F.col(day).desc(), "_side").rowsBetween(Window.unboundedPreceding, 0)
-    own = 1 if strict else 2
-    return (
-        stacked.withColumn(out, F.last("_mark", ignorenulls=True).over(window))
-        .filter(F.col("_side") == own)
-        .select(day, out)
-    )
+def next_in_list(days: DataFrame, day: str, marks: DataFrame, mark: str, out: str, strict: bool, ranges: int | None = None) -> DataFrame:
+    """The as-of join without a key: each different value of ``days`` with the next one in ``marks``."""
+    asked = days.select(day).distinct()
+    return asof_join(asked, marks.select(F.col(mark).alias(day), F.col(mark).alias(out)), [], day, [out], "forward", strict, ranges=ranges)

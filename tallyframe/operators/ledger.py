@@ -20,7 +20,7 @@ def signed_legs(transfers: DataFrame, to: str, origin: str, value: str, account:
     )
 
 
-def statement(legs: DataFrame, openings: DataFrame) -> DataFrame:
+def statement(legs: DataFrame, openings: DataFrame, ranges: int | None = None) -> DataFrame:
     """Balance after every movement.
 
     ``legs``: account, transaction_date, value; ``openings``: account,
@@ -33,6 +33,6 @@ def statement(legs: DataFrame, openings: DataFrame) -> DataFrame:
     starts = openings.select(
         "account", "transaction_date", F.lit(None).cast("decimal(18,2)").alias("value"), F.col("balance").alias("_change"), F.lit(0).alias("_turn")
     )
-    order = [F.col("_turn"), F.col("value").desc_nulls_first()]
-    out = running_sum(rows.unionByName(starts), ["account"], "transaction_date", order, "_change", "balance")
+    changes = rows.unionByName(starts).withColumn("_down", -F.col("value"))
+    out = running_sum(changes, ["account"], ["transaction_date", "_turn", "_down"], "_change", "balance", ranges=ranges)
     return out.select("account", "transaction_date", F.col("value").alias("transaction_value"), "balance")

@@ -107,7 +107,6 @@ def banded_purchases(purchases: DataFrame, year: int, n: int = 5) -> DataFrame:
 def branch_priorities(customers: DataFrame, sites: DataFrame) -> DataFrame:
     """Nearest branch of each customer; per branch the customers are numbered from the closest on."""
     near = nearest_site(customers, sites, "address_lat", "address_long", "branch", "branch_lat", "branch_long")
-    # A branch may be nearest to very many customers: they are numbered in bands of a tenth of a mile.
-    banded = near.select("branch", "customer", "distance", F.floor(F.col("distance") * 10).alias("ring"))
-    ranked = running_row_number(banded, ["branch"], "ring", [F.col("distance"), F.col("customer")], "customer_priority")
+    # A branch may be nearest to very many customers.
+    ranked = running_row_number(near.select("branch", "customer", "distance"), ["branch"], ["distance", "customer"], "customer_priority")
     return ranked.select("branch", "customer", round_half_up(F.col("distance"), 2).alias("distance"), "customer_priority")

@@ -219,30 +219,33 @@ def top_exclusion(lines: DataFrame, toppings: DataFrame) -> DataFrame:
     return _top_topping(lines, toppings, "exclusions", "times_excluded")
 
 
-def _names_of(rows: DataFrame, column: str, toppings: DataFrame, out: str) -> DataFrame:
+def _names_of(rows: DataFrame, column: str, toppings: DataFrame, out: str, texts: DataFrame | None = None) -> DataFrame:
     """``out``: the sorted topping names of a list column, NULL for a list without a known name.
 
     Every distinct list text is named once and joined back. Ids without a name
-    are left out; an id with several names has them all.
+    are left out; an id with several names has them all. ``texts`` is a cheaper
+    table with the same list texts, if there is one.
     """
-    texts = rows.select(F.col(column).alias("list_text")).filter("list_text IS NOT NULL").distinct()
+    texts = (rows if texts is None else texts).select(F.col(column).alias("list_text")).filter("list_text IS NOT NULL").distinct()
     named = (
         explode_items(texts, list_ids(F.col("list_text")), "topping_id")
         .join(toppings, "topping_id")
         .groupBy(F.col("list_text").alias(column))
-        .agg(F.array_sort(F.collect_list("topping_name")).alias(out))
+        .agg(F.sort_array(F.collect_list("topping_name")).alias(out))
     )
     return rows.join(named, column, "left")
 
 
-def _with_names(lines: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Cleaned lines with the names of their exclusions and extras."""
-    return _names_of(_names_of(clean_customer_orders(lines), "exclusions", toppings, "out_names"), "extras", toppings, "in_names")
+def _with_names(rows: DataFrame, lines: DataFrame, toppings: DataFrame) -> DataFrame:
+    """``rows``, made of the cleaned ``lines``, with the names of their exclusions and extras."""
+    named = _names_of(rows, "exclusions", toppings, "out_names", lines)
+    return _names_of(named, "extras", toppings, "in_names", lines)
 
 
 def order_item_labels(lines: DataFrame, headers: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """``Name``, ``Name - Exclude A, B``, ``Name - Extra C`` or both, for every line."""
-    rows = _with_names(lines, toppings).join(names, "pizza_id", "left").join(headers, "order_id")
+    clean = clean_customer_orders(lines)
+    rows = _with_names(clean, clean, toppings).join(names, "pizza_id", "left").join(headers, "order_id")
     label = F.concat(
         "pizza_name",
         F.coalesce(F.concat(F.lit(" - Exclude "), F.array_join("out_names", ", ")), F.lit("")),
@@ -258,7 +261,7 @@ def _times(item: Column, array: Column) -> Column:
 def _list_text(on_it: Column, off_it: Column) -> Column:
     """``2xBacon, Beef``: names by alphabet with their amount if it is more than one."""
     counted = F.transform(
-        F.array_sort(F.array_distinct(on_it)),
+        F.sort_array(F.array_distinct(on_it)),
         lambda name: F.struct(name.alias("name"), (_times(name, on_it) - _times(name, off_it)).alias("n")),
     )
     items = F.transform(
@@ -272,18 +275,19 @@ def ingredient_lists(lines: DataFrame, headers: DataFrame, names: DataFrame, rec
     """``Name: 2xBacon, Beef`` for every line, numbered within its order.
 
     Recipes are named and written out once per pizza; only lines with changes
-    make a text of their own. ``line_slice`` and ``line_sort`` give the lines
-    of an order their order.
+    make a text of their own. ``line_slice`` and then ``line_sort`` give the
+    lines of an order their order.
     """
     none = F.array().cast("array<string>")
     named_recipes = _names_of(recipes, "toppings", toppings, "recipe").withColumn("recipe", F.coalesce("recipe", none)).select(
         "pizza_id", "recipe", _list_text(F.col("recipe"), none).alias("standard")
     )
+    clean = clean_customer_orders(lines)
     numbered = running_row_number(
-        clean_customer_orders(lines), ["order_id"], "line_slice", [F.col("line_sort")], "pizza_number_within_order"
+        clean, ["order_id"], ["line_slice", "line_sort"], "pizza_number_within_order"
     )
     rows = (
-        _with_names(numbered.drop("line_slice", "line_sort").join(headers, "order_id"), toppings)
+        _with_names(numbered.drop("line_slice", "line_sort").join(headers, "order_id"), clean, toppings)
         .join(named_recipes, "pizza_id")
         .join(names, "pizza_id")
         .withColumn("on_it", F.concat("recipe", F.coalesce("in_names", none)))

@@ -7,18 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.dates import is_weekend, month_label
 from tallyframe.operators.asof import asof_join, next_in_list
-from tallyframe.operators.running import fill_down
-
-# Everything below the daily counts has one row per calendar day, so windows
-# without a key are bounded by the length of the calendar.
+from tallyframe.operators.running import fill_down, fill_up
 
 
 def bank_holidays(lines: DataFrame) -> DataFrame:
     """Dates of a printed list whose year stands only on the first line of its block."""
-    so_far = Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    year = F.last(F.when(F.col("year") != "", F.col("year")), ignorenulls=True).over(so_far)
+    printed = lines.withColumn("printed", F.when(F.col("year") != "", F.col("year"))).drop("year")
     return (
-        lines.withColumn("year", year)
+        fill_down(printed, [], ["line_no"], "printed", "year")
         .filter("date <> ''")
         .select(F.try_to_date(F.concat("year", "date"), "yyyydd-MMM").alias("holiday"), "bank_holiday")
     )
@@ -30,10 +26,9 @@ def reporting_flags(new_customers: DataFrame, lines: DataFrame) -> DataFrame:
     joined = days.join(bank_holidays(lines), F.col("join_date") == F.col("holiday"), "left")
     closed = is_weekend(F.col("join_date")) | F.col("bank_holiday").isNotNull()
     flagged = joined.withColumn("reporting_flag", F.when(closed, "non-reporting day").otherwise("reporting day"))
-    # Walking back in time, the last open day seen is the next one.
-    back = Window.orderBy(F.col("join_date").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    open_day = F.when(F.col("reporting_flag") == "reporting day", F.col("join_date"))
-    return flagged.withColumn("next_reporting_date", F.last(open_day, ignorenulls=True).over(back)).select(
+    marked = flagged.withColumn("open_day", F.when(F.col("reporting_flag") == "reporting day", F.col("join_date")))
+    ahead = fill_up(marked, [], ["join_date"], "open_day", "next_reporting_date")
+    return ahead.select(
         "join_date", F.dayname("join_date").alias("day_name"), "bank_holiday", "reporting_flag", "next_reporting_date", "new_customers"
     )
 
@@ -95,10 +90,9 @@ def aligned_calendar(home: DataFrame, abroad: DataFrame, lines: DataFrame, leave
 
 def next_event(events: DataFrame, origin: str, target: str) -> DataFrame:
     """Each event of type ``origin`` with the first strictly later ``target`` event of the same user."""
-    rows = events.select("user_id", "event_type", "ts", "event_id", F.to_date("ts").alias("day"))
-    left = rows.filter(F.col("event_type") == origin).select("user_id", "ts", "event_id", "day")
-    right = rows.filter(F.col("event_type") == target).select("user_id", "ts", "day", F.col("event_id").alias("next_event_id"))
-    return asof_join(left, right, ["user_id"], "ts", ["next_event_id"], "day").select("event_id", "user_id", "next_event_id")
+    left = events.filter(F.col("event_type") == origin).select("user_id", "ts", "event_id")
+    right = events.filter(F.col("event_type") == target).select("user_id", "ts", F.col("event_id").alias("next_event_id"))
+    return asof_join(left, right, ["user_id"], "ts", ["next_event_id"]).select("event_id", "user_id", "next_event_id")
 
 
 def last_known_value(events: DataFrame, event_type: str) -> DataFrame:
@@ -106,8 +100,7 @@ def last_known_value(events: DataFrame, event_type: str) -> DataFrame:
     rows = events.select(
         "user_id",
         "event_id",
-        F.to_date("ts").alias("day"),
         "ts",
         F.when(F.col("event_type") == event_type, F.col("value")).alias("known"),
     )
-    return fill_down(rows, ["user_id"], "day", ["ts", "event_id"], "known", "filled").select("event_id", "user_id", "filled")
+    return fill_down(rows, ["user_id"], ["ts", "event_id"], "known", "filled").select("event_id", "user_id", "filled")

@@ -122,7 +122,7 @@ def days_to_annual_histogram(subscriptions: DataFrame, width: int = 30, bins: in
 def downgrades(subscriptions: DataFrame, plans: DataFrame, year: int, old: str = "pro monthly", new: str = "basic monthly") -> DataFrame:
     """Changes from plan ``old`` straight to ``new``, both within the year."""
     rows = subscriptions.filter(in_year(F.col("start_date"), year))
-    steps = neighbour_values(rows, ["customer_id"], "start_date", ["change_id"], "plan_id", before="old_id")
+    steps = neighbour_values(rows, ["customer_id"], ["start_date", "change_id"], "plan_id", before="old_id")
     before = plans.select(F.col("plan_id").alias("old_id"), F.col("plan_name").alias("old_plan"))
     after = plans.select("plan_id", F.col("plan_name").alias("new_plan"))
     return (
@@ -144,8 +144,7 @@ def payment_schedule(subscriptions: DataFrame, plans: DataFrame, year: int) -> D
     steps = neighbour_values(
         subscriptions.withColumn("at", F.struct("start_date", "plan_id")),
         ["customer_id"],
-        "start_date",
-        ["change_id"],
+        ["start_date", "change_id"],
         "at",
         before="before",
         after="after",

@@ -41,20 +41,20 @@ def test_running_sum(table, rows):
         for row in group:
             total += row[3] or 0
             expected[row[2]] = total
-    out = running_sum(table, ["k"], "day", [F.col("id")], "v", "s")
+    out = running_sum(table, ["k"], ["day", "id"], "v", "s")
     assert out.columns == ["k", "day", "id", "v", "s"]
     assert {r.id: r.s for r in out.collect()} == expected
 
 
 def test_running_sum_shares_equal_rows(spark):
     table = spark.createDataFrame([("a", 1, 5), ("a", 1, 5), ("a", 2, 1)], "k string, day int, v int")
-    out = running_sum(table, ["k"], "day", [F.col("v").desc()], "v", "s")
+    out = running_sum(table.withColumn("down", -F.col("v")), ["k"], ["day", "down"], "v", "s")
     assert sorted(r.s for r in out.collect()) == [10, 10, 11]
 
 
 def test_running_row_number(table, rows):
     expected = {row[2]: n for group in by_key(rows) for n, row in enumerate(group, 1)}
-    out = running_row_number(table, ["k"], "day", [F.col("id")], "n")
+    out = running_row_number(table, ["k"], ["day", "id"], "n")
     assert {r.id: r.n for r in out.collect()} == expected
 
 
@@ -63,7 +63,7 @@ def test_neighbour_values(table, rows):
     for group in by_key(rows):
         values = [None, *[row[3] for row in group], None]
         expected |= {row[2]: (values[i], values[i + 2]) for i, row in enumerate(group)}
-    out = neighbour_values(table, ["k"], "day", ["id"], "v", "b", "a")
+    out = neighbour_values(table, ["k"], ["day", "id"], "v", "b", "a")
     assert {r.id: (r.b, r.a) for r in out.collect()} == expected
 
 
@@ -74,7 +74,7 @@ def test_fill_down(table, rows):
         for row in group:
             last = row[3] if row[3] is not None else last
             expected[row[2]] = last
-    out = fill_down(table, ["k"], "day", ["id"], "v", "f")
+    out = fill_down(table, ["k"], ["day", "id"], "v", "f")
     assert {r.id: r.f for r in out.collect()} == expected
 
 
@@ -96,10 +96,9 @@ def test_asof_join(spark, direction, strict):
     rng = random.Random(3)
     left = [(i, rng.choice(["hot", "hot", "a", "b", None]), rng.choice([None, *range(60)])) for i in range(60)]
     right = [(i, rng.choice(["hot", "hot", "a", "c", None]), rng.choice([None, *range(60)])) for i in range(50)]
-    day = F.expr("t DIV 10").alias("day")
-    lf = spark.createDataFrame(left, "id int, k string, t int").select("id", "k", "t", day)
-    rf = spark.createDataFrame(right, "rid int, k string, t int").select("rid", "k", "t", day)
-    out = asof_join(lf, rf, ["k"], "t", ["rid"], "day", direction, strict)
+    lf = spark.createDataFrame(left, "id int, k string, t int")
+    rf = spark.createDataFrame(right, "rid int, k string, t int")
+    out = asof_join(lf, rf, ["k"], "t", ["rid"], direction, strict)
     assert {r.id: r.rid for r in out.collect()} == brute_asof(left, right, direction == "forward", strict)
 
 
