@@ -85,3 +85,74 @@ FROM w LEFT JOIN base USING (r) LEFT JOIN found USING (r) LEFT JOIN named USING
 
 
 CHECKS["op3_license_join"] = _license_sql()
+
+CHECKS["op11_length_bucketed_crc"] = r"""
+WITH crc(t) AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))),
+w AS (
+  SELECT false AS target, row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM documents
+  UNION ALL
+  SELECT true, NULL, NULL, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')
+  FROM benchmark),
+g AS (
+  SELECT target, r, unnest(words) AS gram FROM w
+  UNION ALL
+  SELECT target, r, words[p] || ' ' || words[p + 1] FROM (SELECT *, unnest(range(1, len(words))) AS p FROM w)),
+n AS (SELECT target, r, gram, count(*) AS n FROM g GROUP BY ALL),
+h AS (SELECT gram, hex(encode(gram)) AS x FROM (SELECT DISTINCT gram FROM n)),
+b AS (
+  SELECT gram, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2), lambda i:
+      16 * (instr('0123456789ABCDEF', x[2 * i + 1]) - 1) + instr('0123456789ABCDEF', x[2 * i + 2]) - 1)),
+    lambda c, y: xor(c // 256, t[xor(c % 256, y) + 1])), 4294967295) % 10000 AS bucket FROM h, crc),
+c AS (
+  SELECT k.bucket, coalesce(sum(n) FILTER (NOT target), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (target), 0)::DOUBLE AS t
+  FROM (SELECT unnest(range(10000)) AS bucket) k LEFT JOIN (n JOIN b USING (gram)) USING (bucket) GROUP BY 1),
+q AS (SELECT sum(s) AS s, sum(t) AS t FROM c),
+gain AS (SELECT bucket, floor(1000 * ln((c.t + 1) * (q.s + 10000) / ((c.s + 1) * (q.t + 10000))))::BIGINT AS gain FROM c, q),
+d AS (
+  SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM n JOIN b USING (gram) JOIN gain USING (bucket) WHERE NOT target GROUP BY 1),
+s AS (
+  SELECT w.r, w.doc_id, len(words) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((list_reduce(list_prepend(0::BIGINT, list_transform(range(8), lambda i:
+      (instr('0123456789abcdef', substr(sha256('7:' || coalesce(w.doc_id::VARCHAR, '')), i + 1, 1)) - 1)::BIGINT)),
+      lambda a, y: a * 16 + y) + 0.5) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN d USING (r) WHERE NOT target),
+o AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER (PARTITION BY able) AS m FROM s)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * m // 100 THEN place END AS rank FROM o
+"""
+
+CHECKS["op13_pattern_tree"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, lang, source, unnest(list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+langs AS (
+  SELECT lang, count(term)::HUGEINT AS v, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY 1),
+counts AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+groups AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN counts USING (lang, source) GROUP BY 1, 2),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY 1, 2, 3),
+terms AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+  FROM (SELECT 'pair' AS part, * FROM pairs UNION ALL SELECT 'term', * FROM terms))
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""

@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10: each operator on its whole table, reduced to its contract's columns."""
+"""The registered queries op1 to op13: each operator on its whole table, reduced to its contract's columns."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bag_minhash, cube_mix, decontaminate, html_blocks, katz, license_join, passages, pii, quality_forest, toxicity
+from tallyframe.llm import bag_minhash, cube_mix, decontaminate, divergence, html_blocks, importance, katz, license_join, passages, pii, quality_forest, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,28 @@ def op10_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(_read(spark, folder, "documents")))
 
 
+def op11_length_bucketed_crc(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op13_pattern_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_block_text, op2_isolation_forest, op3_license_join, op4_suffix_automaton, op5_weak_supervision, op6_collinear_chains, op7_bag_minhash, op8_katz_backoff, op9_cube_mix, op10_disclosure)
+    f.__name__: f
+    for f in (
+        op1_line_block_text,
+        op2_isolation_forest,
+        op3_license_join,
+        op4_suffix_automaton,
+        op5_weak_supervision,
+        op6_collinear_chains,
+        op7_bag_minhash,
+        op8_katz_backoff,
+        op9_cube_mix,
+        op10_disclosure,
+        op11_length_bucketed_crc,
+        op13_pattern_tree,
+    )
 }
