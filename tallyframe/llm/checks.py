@@ -126,6 +126,27 @@ o AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id
 SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * m // 100 THEN place END AS rank FROM o
 """
 
+CHECKS["op12_induced_suffixes"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (
+  SELECT r, p, md5_number(substr(x, 2 * p + 1, 400)) AS h
+  FROM (SELECT *, unnest(range(0, len(x) // 2 - 199)) AS p FROM d WHERE len(x) >= 400)),
+m AS (SELECT r, p FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)),
+i AS (SELECT *, p - lag(p) OVER (PARTITION BY r ORDER BY p) AS gap FROM m),
+g AS (SELECT r, p, sum(CASE WHEN gap <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS run FROM i),
+c AS (SELECT r, run, min(p) AS f, max(p) + 200 AS t FROM g GROUP BY 1, 2),
+kept AS (
+  SELECT r, string_agg(part, '' ORDER BY f) AS x FROM (
+    SELECT d.r, f, substr(x, 2 * coalesce(lag(t) OVER (PARTITION BY d.r ORDER BY f), 0) + 1,
+      2 * (f - coalesce(lag(t) OVER (PARTITION BY d.r ORDER BY f), 0))) AS part FROM c JOIN d USING (r)
+    UNION ALL
+    SELECT d.r, 1e18, substr(x, 2 * t + 1) FROM d JOIN (SELECT r, max(t) AS t FROM c GROUP BY 1) USING (r)) GROUP BY 1),
+n AS (SELECT r, sum(t - f)::BIGINT AS n_removed, count(*) AS n_spans FROM c GROUP BY 1)
+SELECT doc_id, len(d.x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""
+
 CHECKS["op13_pattern_tree"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
 w AS (

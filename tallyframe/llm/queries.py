@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import bag_minhash, cube_mix, decontaminate, divergence, html_blocks, importance, katz, license_join, passages, pii, quality_forest, toxicity
+from tallyframe.llm import bag_minhash, cube_mix, decontaminate, divergence, html_blocks, importance, katz, license_join, passages, pii, quality_forest, suffix_dedup, toxicity
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op11_length_bucketed_crc(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
 
 
+def op12_induced_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_read(spark, folder, "documents"))
+
+
 def op13_pattern_tree(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit_sources(_read(spark, folder, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_cube_mix,
         op10_disclosure,
         op11_length_bucketed_crc,
+        op12_induced_suffixes,
         op13_pattern_tree,
     )
 }
