@@ -95,6 +95,7 @@ class _Induction:
     """One direction: pops suffixes in order and pushes their left neighbours of the wanted type."""
 
     def __init__(self, text: np.ndarray, wanted: np.ndarray, characters: int, depth: int, memory: int) -> None:
+        """Without ``depth`` no common prefixes are worked out."""
         self.text, self.wanted, self.depth = text, wanted, depth
         self.queues = Queues(characters, memory)
         # The least common prefix met since a queue was last pushed to; an empty queue's first entry shares nothing.
@@ -109,7 +110,7 @@ class _Induction:
         left = places - 1
         ok = (left >= 0) & self.wanted[left]
         index = np.flatnonzero(ok)
-        floor = int(common.min(initial=255))
+        floor = int(common.min(initial=255)) if self.depth else 0
         if not len(index):
             np.minimum(self.since, floor, out=self.since)
             return
@@ -117,16 +118,22 @@ class _Induction:
         target = self.text[left]
         order = np.argsort(target, kind="stable")
         left, target, index = left[order], target[order], index[order]
-        head = np.flatnonzero(np.diff(target, prepend=-1))
+        head = np.flatnonzero(np.append(True, target[1:] != target[:-1]))
+        heads, last = target[head], np.append(head[1:], len(index)) - 1
+        value = self._common(common, index, head, heads, last, floor) if self.depth else np.zeros(len(index), np.uint8)
+        for character, a, b in zip(heads.tolist(), head.tolist(), (last + 1).tolist(), strict=True):
+            self.queues.push(character, left[a:b], value[a:b])
+
+    def _common(
+        self, common: np.ndarray, index: np.ndarray, head: np.ndarray, heads: np.ndarray, last: np.ndarray, floor: int
+    ) -> np.ndarray:
+        """What each new entry shares with the one before it in its queue: one more than the inducers in between all share."""
         begin = np.empty_like(index)
         begin[1:] = index[:-1] + 1
         begin[head] = 0
         least = _Least(common)
         shared = least.of(begin, index + 1).astype(np.int64)
-        heads = target[head]
         shared[head] = np.minimum(shared[head], self.since[heads])
-        value = np.minimum(shared + 1, self.depth)
-        last = np.append(head[1:], len(index)) - 1
         np.minimum(self.since, floor, out=self.since)
         after = index[last] + 1
         rest = np.full(len(last), 255, np.int64)
@@ -134,9 +141,7 @@ class _Induction:
         if len(more):
             rest[more] = least.of(after[more], np.full(len(more), len(common)))
         self.since[heads] = rest
-        value = value.astype(np.uint8)
-        for character, a, b in zip(heads.tolist(), head.tolist(), (last + 1).tolist(), strict=True):
-            self.queues.push(character, left[a:b], value[a:b])
+        return np.minimum(shared + 1, self.depth).astype(np.uint8)
 
 
 def _shared(text: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray, depth: int) -> np.ndarray:
@@ -175,7 +180,7 @@ def _induce(
         a, b = bounds[c], bounds[c + 1]
         if a < b:
             places, shared = starts[a:b], common[a:b].copy()
-            shared[0] = 0 if last < 0 else _shared(text, starts[a : a + 1], np.array([last]), np.zeros(1, np.int64), depth)[0]
+            shared[0] = 0 if last < 0 or not depth else _shared(text, starts[a : a + 1], np.array([last]), np.zeros(1, np.int64), depth)[0]
             run.step(places, shared)
     run.queues.close()
     run = _Induction(text, ~falling, characters, depth, memory)
@@ -194,7 +199,7 @@ def _induce(
             down[1:] = shared[:0:-1]
             if i:
                 down[0] = above
-            elif last >= 0:
+            elif last >= 0 and depth:
                 down[0] = _shared(text, places[:1], np.array([last]), np.zeros(1, np.int64), depth)[0]
             else:
                 down[0] = 0
@@ -207,44 +212,48 @@ def _induce(
     yield np.array([len(text) - 1], np.int32), np.zeros(1, np.uint8)
 
 
-def _order_names(names: np.ndarray, places: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Order of the suffixes of a text of names, and their ranks by the first 1, 2, 4 ... names."""
+def _order_names(
+    names: np.ndarray, by: np.ndarray, places: np.ndarray, depth: int
+) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Order of the suffixes of a text of names, and their ranks by the first 1, 2, 4 ... names.
+
+    ``by`` orders them by their first name. A rank is the first place of its group in the order.
+    """
     n = len(names)
-    order = np.argsort(names, kind="stable")
+    order = by.copy()
     rank = np.empty(n, np.int32)
-    ordered = names[order]
-    first = np.flatnonzero(np.diff(ordered, prepend=-1))
-    rank[order] = np.repeat(first, np.diff(np.append(first, n)))
-    levels, h = [(1, rank.copy())], 1
-    far = np.append(places, places[-1] + 2 * depth)
+    first = np.flatnonzero(np.append(True, names[by[1:]] != names[by[:-1]]))
     sizes = np.diff(np.append(first, n))
+    rank[order] = np.repeat(first, sizes)
+    levels, h = [(1, rank)], 1
+    far = np.append(places, places[-1] + 2 * depth)
     open_ = order[np.repeat(sizes > 1, sizes)]
     while len(open_):
-        ahead = np.minimum(open_ + h, n)
-        # Suffixes that agree in all that matters stay tied.
-        open_ = open_[far[ahead] - places[open_] < depth]
+        # Groups that agree in all that matters stay tied.
+        open_ = open_[far[np.minimum(open_ + h, n)] - places[open_] < depth]
         ahead = open_ + h
         key = rank[open_].astype(np.int64) * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        by = np.argsort(key, kind="stable")
-        open_, key = open_[by], key[by]
+        sort = np.argsort(key)
+        open_, key = open_[sort], key[sort]
         group = rank[open_]
-        fresh = np.diff(key, prepend=-1) != 0
         index = np.arange(len(open_))
-        group_first = np.maximum.accumulate(np.where(np.diff(group, prepend=-1) != 0, index, 0))
+        fresh = np.append(True, key[1:] != key[:-1])[: len(key)]
+        group_first = np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1])[: len(key)], index, 0))
         key_first = np.maximum.accumulate(np.where(fresh, index, 0))
+        order[group + index - group_first] = open_
         rank = rank.copy()
         rank[open_] = group + key_first - group_first
         h *= 2
         levels.append((h, rank))
         sizes = np.diff(np.append(np.flatnonzero(fresh), len(open_)))
         open_ = open_[np.repeat(sizes > 1, sizes)]
-    return np.argsort(rank, kind="stable"), levels
+    return order, levels
 
 
 def sorted_suffixes(text: np.ndarray, characters: int, depth: int = 200, memory: int = 64 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of all suffixes in descending order, in blocks, each with the length of the prefix shared with the next larger.
 
-    ``text`` holds uint16 characters below ``characters`` and ends with a 0 that
+    ``text`` holds unsigned characters below ``characters`` and ends with a 0 that
     stands nowhere else; ``depth`` is at most 254. The queues keep at most
     ``memory`` bytes in memory. A text of the 0 alone has one suffix.
     """
@@ -263,33 +272,41 @@ def sorted_suffixes(text: np.ndarray, characters: int, depth: int = 200, memory:
     nothing = np.zeros(len(rough), np.uint8)
     number = np.full(n, -1, np.int32)
     number[lms] = np.arange(len(lms), dtype=np.int32)
-    found = [number[p] for p, _ in _induce(text, falling, rough, nothing, characters, depth, memory)]
-    by = np.concatenate([f[f >= 0] for f in found])[::-1]
+    found = []
+    for block, _ in _induce(text, falling, rough, nothing, characters, 0, memory):
+        mine = number[block]
+        found.append(mine[mine >= 0])
+    by = np.concatenate(found)[::-1]
     # Names: equal substrings from one LMS place to the next, that place included.
-    sizes = np.diff(np.append(lms, n)).astype(np.int64)
+    sizes = np.diff(np.append(lms, n))
     sizes[:-1] += 1
-    a, b = lms[by[:-1]].astype(np.int64), lms[by[1:]].astype(np.int64)
-    same = sizes[by[:-1]] == sizes[by[1:]]
+    ordered = sizes[by]
+    same = ordered[1:] == ordered[:-1]
     pairs = np.flatnonzero(same)
+    a, b, left = lms[by[pairs]], lms[by[pairs + 1]], ordered[pairs]
     at = 0
     while len(pairs):
-        pairs = pairs[at < sizes[by[pairs]]]
-        differ = text[a[pairs] + at] != text[b[pairs] + at]
-        same[pairs[differ]] = False
-        pairs, at = pairs[~differ], at + 1
+        equal = text[a + at] == text[b + at]
+        same[pairs[~equal]] = False
+        at += 1
+        equal &= left > at
+        pairs, a, b, left = pairs[equal], a[equal], b[equal], left[equal]
     names = np.empty(len(lms), np.int32)
     names[by] = np.cumsum(np.append(False, ~same))
     places = lms.astype(np.int64)
-    order, levels = _order_names(names, places, depth)
+    order, levels = _order_names(names, by, places, depth)
     # What neighbours share: whole names first, from the longest run of names down, then single characters.
-    x, y = order[:-1].copy(), order[1:].copy()
-    known = np.zeros(len(x), np.int64)
-    far = np.append(places, n)
+    known = np.zeros(len(order) - 1, np.int64)
+    far = np.append(lms, n)
+    first = levels[0][1]
+    ok = np.flatnonzero(first[order[:-1]] == first[order[1:]])
+    x, y = order[ok], order[ok + 1]
     for h, rank in reversed(levels):
-        ok = np.flatnonzero((np.maximum(x, y) < len(rank)) & (known < depth))
-        ok = ok[rank[x[ok]] == rank[y[ok]]]
-        known[ok] += far[np.minimum(x[ok] + h, len(lms))] - far[x[ok]]
-        x[ok], y[ok] = np.minimum(x[ok] + h, len(lms)), np.minimum(y[ok] + h, len(lms))
+        equal = np.flatnonzero(rank[np.minimum(x, len(lms) - 1)] == rank[np.minimum(y, len(lms) - 1)])
+        equal = equal[np.maximum(x[equal], y[equal]) < len(lms)]
+        x[equal] = np.minimum(x[equal] + h, len(lms))
+        y[equal] = np.minimum(y[equal] + h, len(lms))
+    known[ok] = far[x] - lms[order[ok]]
     starts = lms[order]
     common = np.zeros(len(starts), np.uint8)
     common[1:] = _shared(text, places[order[:-1]], places[order[1:]], known, depth)

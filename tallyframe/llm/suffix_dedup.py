@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,7 +35,8 @@ from tallyframe.llm.induced import sorted_suffixes
 
 SEED = 64  # bytes of a seed, a power of two
 _SPAN = "array<struct<f:int,t:int>>"
-_SEGMENT = 1 << 20  # starts of a text that are looked at together
+_SEGMENT = 1 << 16  # bytes that are looked at together
+_DIGEST = xxhash.xxh3_64_intdigest
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -64,20 +65,53 @@ def _seeds(data: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.nda
     return (_LOW - (least & _LOW)).astype(np.int64), hashes
 
 
-def pieces(text: bytes, length: int, seed: int = SEED) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(first start, key, content hash, place of the seed after the first start, content) of each piece of a text."""
-    with np.errstate(over="ignore"):
+Piece = tuple[int, int, int, int, bytes]  # first start, key, content hash, place of the seed after the first start, content
+
+
+def pieces(texts: Iterable[bytes], length: int, seed: int = SEED) -> Iterator[tuple[int, list[Piece]]]:
+    """The number and the pieces of each text; a long text comes in several lists, a short one in none.
+
+    Texts are joined to blocks of about ``_SEGMENT`` bytes, longer ones cut with an overlap.
+    """
+    block: list[tuple[int, int, bytes]] = []
+    size = 0
+    for i, text in enumerate(texts):
         for begin in range(0, max(len(text) - length + 1, 0), _SEGMENT):
             part = text[begin : begin + _SEGMENT + length - 1]
-            places, hashes = _seeds(np.frombuffer(part, np.uint8), length, seed)
-            firsts = np.flatnonzero(np.diff(places, prepend=-1))
-            ends = np.append(firsts[1:], len(places)) + length - 1
-            found = places[firsts]
-            for first, end, place, key in zip(
-                firsts.tolist(), ends.tolist(), found.tolist(), hashes[found].view(np.int64).tolist(), strict=True
-            ):
-                content = part[first:end]
-                yield begin + first, key, _signed(xxhash.xxh3_64_intdigest(content)), place - first, content
+            block.append((i, begin, part))
+            size += len(part)
+            if size >= _SEGMENT:
+                yield from _block_pieces(block, length, seed)
+                block, size = [], 0
+    yield from _block_pieces(block, length, seed)
+
+
+def _block_pieces(block: list[tuple[int, int, bytes]], length: int, seed: int) -> Iterator[tuple[int, list[Piece]]]:
+    if not block:
+        return
+    joined = b"".join([part for _, _, part in block])
+    with np.errstate(over="ignore"):
+        places, hashes = _seeds(np.frombuffer(joined, np.uint8), length, seed)
+    ends = np.cumsum([len(part) for _, _, part in block])
+    # A start is a text's own if its string ends in it; a piece is a run of such starts with one seed.
+    border = np.zeros(len(places) + 1, np.int8)
+    border[ends[:-1] - length + 1] += 1
+    border[ends[:-1]] -= 1
+    own = np.cumsum(border[:-1]) == 0
+    change = np.append(True, (places[1:] != places[:-1]) | ~own[:-1]) & own
+    firsts = np.flatnonzero(change)
+    lasts = np.append(firsts[1:], len(places))
+    after = np.searchsorted(ends, firsts, side="right")
+    lasts = np.minimum(lasts, ends[after] - length + 1) + length - 1
+    found = places[firsts]
+    contents = [joined[x:y] for x, y in zip(firsts.tolist(), lasts.tolist(), strict=True)]
+    hashed = np.array([_DIGEST(c) for c in contents], np.uint64).view(np.int64).tolist()
+    keys, inside = hashes[found].view(np.int64).tolist(), (found - firsts).tolist()
+    bounds = np.searchsorted(firsts, np.append(0, ends)).tolist()
+    for (i, begin, part), x, y, end in zip(block, bounds[:-1], bounds[1:], ends.tolist(), strict=True):
+        shift = begin - (end - len(part))
+        starts = (firsts[x:y] + shift).tolist()
+        yield i, list(zip(starts, keys[x:y], hashed[x:y], inside[x:y], contents[x:y], strict=True))
 
 
 def _halves(content: bytes, place: int, low: int, high: int, length: int) -> Iterator[tuple[int, int, int, int, int, int, bytes]]:
@@ -104,24 +138,25 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _text_key(text: bytes) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(text, seed=1))
+def _with_owner(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("owner", F.xxhash64("text"))
 
 
 def _occurrences(docs: DataFrame, length: int, seed: int) -> DataFrame:
     """(owner, key, ph, n): the pieces of each different text; texts that are equal within a batch are taken once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _texts(batches):
+        for part, texts in _texts(batches):
             rows: list[tuple[int, int, int, int]] = []
-            for text, times in Counter(t for t in texts if len(t) >= length).items():
-                owner = _text_key(text)
-                found = Counter((key, ph) for _, key, ph, _, _ in pieces(text, length, seed))
-                rows += [(owner, key, ph, n * times) for (key, ph), n in found.items()]
+            times = Counter(zip(part.column("owner").to_pylist(), texts, strict=True))
+            owners = list(times)
+            for i, found in pieces([text for _, text in owners], length, seed):
+                counted = Counter([(key, ph) for _, key, ph, _, _ in found])
+                rows += [(owners[i][0], key, ph, n * times[owners[i]]) for (key, ph), n in counted.items()]
             columns = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["owner", "key", "ph", "n"])
 
-    return docs.select("text").mapInArrow(work, "owner long, key long, ph long, n long")
+    return _with_owner(docs.select("text")).mapInArrow(work, "owner long, key long, ph long, n long")
 
 
 def _contents(docs: DataFrame, wanted: DataFrame, length: int, seed: int) -> DataFrame:
@@ -130,23 +165,18 @@ def _contents(docs: DataFrame, wanted: DataFrame, length: int, seed: int) -> Dat
         wanted.groupBy("owner").agg(F.collect_list(F.struct("key", "ph", "n")).alias("wanted")), "wanted"
     )
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _texts(batches):
-            owners = pa.array([_text_key(t) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([owners, pa.array(texts, pa.binary())], names=["owner", "text"])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _texts(batches):
-            for text, asked in zip(texts, part.column("wanted").to_pylist(), strict=True):
-                left = {(w["key"], w["ph"]): w["n"] for w in asked}
-                rows = []
-                for _, key, ph, place, content in pieces(text, length, seed):
-                    n = left.pop((key, ph), None)
+            asked = [{(w["key"], w["ph"]): w["n"] for w in wanted} for wanted in part.column("wanted").to_pylist()]
+            rows = []
+            for i, found in pieces(texts, length, seed):
+                for _, key, ph, place, content in found:
+                    n = asked[i].pop((key, ph), None)
                     if n is not None:
                         rows.append((key, ph, n, place, 0, length - seed + 1, content))
-                yield _piece_batch(rows)
+            yield _piece_batch(rows)
 
-    once = docs.select("text").mapInArrow(keyed, "owner long, text binary").join(lists.select("owner"), "owner", "left_semi")
+    once = _with_owner(docs.select("text")).join(lists.select("owner"), "owner", "left_semi")
     once = once.groupBy("owner").agg(F.first("text").alias("text")).join(lists, "owner").select("text", "wanted")
     return once.mapInArrow(cut, _PIECE)
 
@@ -184,10 +214,11 @@ def repeated_starts(contents: list[bytes], times: np.ndarray, length: int, memor
     """For each content the starts of strings of ``length`` bytes that occur twice or more, counting contents ``times``."""
     sizes = np.fromiter(map(len, contents), np.int64, len(contents))
     bases = np.cumsum(sizes + 1) - sizes - 1
-    # Bytes are 2 and up, 1 stands behind each content, 0 at the end.
-    text = np.frombuffer(b"\x00".join([*contents, b""]), np.uint8).astype(np.uint16) + np.uint16(2)
+    # Bytes are 2 and up (UTF-8 has none above 0xF4), 1 stands behind each content, 0 at the end.
+    text = np.frombuffer(b"\x00".join([*contents, b""]), np.uint8)
+    text = text + np.uint8(2) if text.max(initial=0) < 254 else text.astype(np.uint16) + np.uint16(2)
     text[bases + sizes] = 1
-    text = np.append(text, np.uint16(0))
+    text = np.append(text, text.dtype.type(0))
     marked = np.zeros(len(text), bool)
     held: list[np.ndarray] = []  # the run of equal strings that may go on in the next block
     for places, common in sorted_suffixes(text, 258, length, memory):
@@ -273,6 +304,21 @@ def repeated_spans(docs: DataFrame, length: int = 200, seed: int = SEED, hot: in
     return listed.groupBy("owner").agg(F.collect_list("piece").alias("found"))
 
 
+def _covered(texts: list[bytes], hits: list[list[dict] | None], length: int, seed: int) -> list[list[tuple[int, int]]]:
+    """For each text the runs of bytes that its repeated strings cover."""
+    asked = [{(h["key"], h["ph"]): h["spans"] for h in listed or ()} for listed in hits]
+    runs: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for i, found in pieces([t if a else b"" for t, a in zip(texts, asked, strict=True)], length, seed):
+        mine = runs[i]
+        spans = [(first + s["f"], first + s["t"] - 1 + length) for first, key, ph, _, _ in found for s in asked[i].get((key, ph), ())]
+        for a, b in sorted(spans):
+            if mine and a <= mine[-1][1]:
+                mine[-1] = (mine[-1][0], max(b, mine[-1][1]))
+            else:
+                mine.append((a, b))
+    return runs
+
+
 def remove_repeats(docs: DataFrame, length: int = 200, id_column: str = "doc_id", **options: int) -> DataFrame:
     """What is left of each text without the bytes of strings of ``length`` bytes that also start somewhere else.
 
@@ -291,33 +337,20 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_column: str = "doc_id"
     plain = docs.select(docs[id_column].alias("id"), docs["text"].cast("string").alias("text"))
     found = stored(repeated_spans(plain, length, **options), "found")
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _texts(batches):
-            owners = pa.array([_text_key(t) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("id"), owners, pa.array(texts, pa.binary())], names=["id", "owner", "text"])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _texts(batches):
             sizes, removed, runs, digests = [], [], [], []
-            for text, hits in zip(texts, part.column("found").to_pylist(), strict=True):
-                gone = np.zeros(len(text) + 1, np.int64)
-                if hits:
-                    asked = {(h["key"], h["ph"]): h["spans"] for h in hits}
-                    for first, key, ph, _, _ in pieces(text, length, seed):
-                        for span in asked.get((key, ph), ()):
-                            gone[first + span["f"]] += 1
-                            gone[first + span["t"] - 1 + length] -= 1
-                covered = np.cumsum(gone)[:-1] > 0
+            for text, spans in zip(texts, _covered(texts, part.column("found").to_pylist(), length, seed), strict=True):
                 sizes.append(len(text))
-                removed.append(int(covered.sum()))
-                runs.append(int(np.count_nonzero(np.diff(covered.astype(np.int8), prepend=0) == 1)))
-                kept = np.frombuffer(text, np.uint8)[~covered] if len(text) else b""
+                removed.append(sum(b - a for a, b in spans))
+                runs.append(len(spans))
+                edges = [0, *[e for span in spans for e in span], len(text)]
+                kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 digests.append(hashlib.sha256(kept).hexdigest())
             columns = [part.column("id"), *[pa.array(c, pa.int64()) for c in (sizes, removed, runs)], pa.array(digests)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = dict(plain.dtypes)["id"]
-    with_keys = plain.mapInArrow(keyed, f"id {kind}, owner long, text binary")
-    joined = with_keys.join(found, "owner", "left").select("id", "text", "found")
+    joined = _with_owner(plain).join(found, "owner", "left").select("id", "text", "found")
     out = joined.mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumnRenamed("id", id_column)

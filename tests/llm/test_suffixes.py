@@ -83,17 +83,19 @@ def test_removal_equals_brute_force(spark, options):
     assert [tuple(r)[1:] for r in got] == brute(texts, 40)
 
 
-def test_long_texts_in_segments(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "_SEGMENT", 64)
+@pytest.mark.parametrize("segment", [64, 700, 1 << 17])
+def test_long_texts_in_segments(segment, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_SEGMENT", segment)
     rng = random.Random(4)
     base = "".join(rng.choice("abcd ") for _ in range(500))
     texts = [base, base[37:400] + "!", "?" * 10 + base[100:]]
     data = [t.encode() for t in texts]
     starts = Counter(d[i : i + 40] for d in data for i in range(len(d) - 39))
-    for d in data:
-        found = [p for first, _, _, _, content in suffix_dedup.pieces(d, 40, 16) for p in range(first, first + len(content) - 39)]
-        assert found == list(range(len(d) - 39))
-    contents = [c for d in data for *_, c in suffix_dedup.pieces(d, 40, 16)]
+    found = [[] for _ in data]
+    for i, rows in suffix_dedup.pieces(data, 40, 16):
+        found[i] += [p for first, _, _, _, content in rows for p in range(first, first + len(content) - 39)]
+    assert found == [list(range(len(d) - 39)) for d in data]
+    contents = [c for _, rows in suffix_dedup.pieces(data, 40, 16) for *_, c in rows]
     marks = suffix_dedup.repeated_starts(contents, np.ones(len(contents), np.int64), 40)
     again = Counter(c[i : i + 40] for c, m in zip(contents, marks, strict=True) for i in m.tolist())
     assert again == Counter({k: n for k, n in starts.items() if n > 1})
