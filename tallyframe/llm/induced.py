@@ -307,6 +307,7 @@ def sorted_suffixes(text: np.ndarray, characters: int, depth: int = 200, memory:
         x[equal] = np.minimum(x[equal] + h, len(lms))
         y[equal] = np.minimum(y[equal] + h, len(lms))
     known[ok] = far[x] - lms[order[ok]]
+    del levels, first, rank, number, found, sizes, ordered
     starts = lms[order]
     common = np.zeros(len(starts), np.uint8)
     common[1:] = _shared(text, places[order[:-1]], places[order[1:]], known, depth)

@@ -271,7 +271,7 @@ def _moved(spans: Column, by: str) -> Column:
     return F.transform(spans, lambda s: F.struct((s["f"] + F.col(by)).alias("f"), (s["t"] + F.col(by)).alias("t")))
 
 
-def repeated_spans(docs: DataFrame, length: int = 200, seed: int = SEED, hot: int = 4_096, shard_bytes: int = 4 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 200, seed: int = SEED, hot: int = 4_096, shard_bytes: int = 2 << 20) -> DataFrame:
     """(owner, found): the pieces of each text, by the hash of the text, in which strings repeat, and their starts.
 
     ``hot`` is the number of different pieces beyond which a key is refined.
