@@ -142,6 +142,9 @@ _ALL |= {
     "asof_next": """SELECT a.event_id, a.user_id, b.event_id AS next_event_id
         FROM (SELECT * FROM events WHERE event_type = 'signup') a
         ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b ON a.user_id = b.user_id AND a.ts < b.ts""",
+    "asof_next_any": """SELECT a.event_id, b.event_id AS next_event_id
+        FROM (SELECT * FROM events WHERE event_type = 'signup') a
+        ASOF LEFT JOIN (SELECT ts, min(event_id) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY ts) b ON a.ts < b.ts""",
     "fill_down": """SELECT event_id, user_id, last_value(CASE WHEN event_type = 'signup' THEN value END IGNORE NULLS) OVER (
         PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM events""",
 }
@@ -372,6 +375,11 @@ _ALL |= {
         """SELECT r_name AS region_name, median(days)::DOUBLE AS median_days, quantile_cont(days, 0.8)::DOUBLE AS percentile_80, quantile_cont(days, 0.95)::DOUBLE AS percentile_95
         FROM (SELECT region_id, (end_date - start_date + 1)::DOUBLE AS days FROM nodes WHERE end_date IS NOT NULL) JOIN region ON region_id = r_regionkey GROUP BY 1""",
     ),
+    "amount_percentiles": over(
+        "ledger",
+        """SELECT txn_type, quantile_cont(v, 0.5) AS median_amount, quantile_cont(v, 0.8) AS percentile_80, quantile_cont(v, 0.95) AS percentile_95
+        FROM (SELECT txn_type, txn_amount::DOUBLE AS v FROM ledger) GROUP BY 1""",
+    ),
     "txn_type_totals": over("ledger", "SELECT txn_type, count(*) AS number_of_transactions, sum(txn_amount)::DOUBLE AS transaction_amount FROM ledger GROUP BY 1"),
     "avg_deposits": over(
         "ledger",

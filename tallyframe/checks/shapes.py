@@ -56,7 +56,8 @@ SHAPES: dict[str, str] = {
     "branches": """SELECT s_suppkey AS branch, 50 + (s_suppkey * 37 % 900) / 100.0::DOUBLE AS lat, -6 + (s_suppkey * 101 % 800) / 100.0::DOUBLE AS lon FROM supplier""",
     "holidays": f"""SELECT strptime(y || d, '%Y%d-%b')::DATE AS day, name FROM (
         SELECT max(nullif(y, '')) OVER (ORDER BY n) AS y, d, name FROM (VALUES {_HOLIDAY_VALUES}) AS v(n, y, d, name)) WHERE d <> ''""",
-    "home_days": """SELECT (o_orderdate + INTERVAL 336 MONTH)::DATE AS day, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1""",
+    "home_days": """SELECT (o_orderdate + INTERVAL 336 MONTH)::DATE AS day, count(*) AS n FROM orders
+        WHERE NOT coalesce(o_orderstatus = 'F' AND NOT (dayofweek(o_orderdate) = 2 AND day(o_orderdate) > 20), false) GROUP BY 1""",
     "away_days": """SELECT strftime(day + 2, '%b-%y') AS reporting_month, n AS new_customers, day FROM (
         SELECT (o_orderdate + INTERVAL 336 MONTH)::DATE AS day, count(*) AS n FROM orders
         WHERE o_orderstatus = 'F' AND NOT (dayofweek(o_orderdate) = 2 AND day(o_orderdate) > 20) GROUP BY 1)""",

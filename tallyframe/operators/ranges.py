@@ -47,7 +47,7 @@ class Cuts:
     pieces: int
 
 
-def sort_cuts(source: DataFrame, keys: Sequence[str], ranges: int | None = None) -> Cuts:
+def sort_cuts(source: DataFrame, keys: Sequence[str], ranges: int | None = None, size: int | None = None) -> Cuts:
     """Borders of about equal pieces of ``source`` in the ascending order of ``keys`` (NULL first).
 
     ``ranges`` is the number of pieces; by default one for each shuffle
@@ -56,10 +56,12 @@ def sort_cuts(source: DataFrame, keys: Sequence[str], ranges: int | None = None)
     piece, chosen by the hash of their keys. Only these keys pass through the
     driver, so that every branch of a plan, and every rerun of a task, works
     with the same borders. They only decide how even the pieces are: ``source``
-    may be any table with such keys.
+    may be any table with such keys, and ``size`` a number of rows that is known
+    without counting. For a single piece nothing runs.
     """
     rows = source.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    spark, n = source.sparkSession, rows.count()
+    spark = source.sparkSession
+    n = size if size is not None else 0 if ranges == 1 else rows.count()
     pieces = ranges or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // PIECE_ROWS))
     picked: list = []
     if pieces > 1:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.dates import year_month
 from tallyframe.functions.numbers import percent_text, ratio, round_half_up
+from tallyframe.operators.percentiles import exact_percentiles
 from tallyframe.operators.scaffold import carry_forward, date_grid
 
 # Fixed value: an end date in this year means "not ended".
@@ -52,6 +53,12 @@ def avg_allocation_days(nodes: DataFrame) -> DataFrame:
     return _stay_lengths(nodes).agg(round_half_up(F.avg("days"), 1).alias("avg_days_before_reallocation"))
 
 
+def amount_percentiles(transactions: DataFrame) -> DataFrame:
+    """Exact interpolated percentiles of the amounts of each kind of transaction."""
+    shares = {"median_amount": 0.5, "percentile_80": 0.8, "percentile_95": 0.95}
+    return exact_percentiles(transactions, ["txn_type"], "txn_amount", shares)
+
+
 def allocation_percentiles(nodes: DataFrame, regions: DataFrame) -> DataFrame:
     """Exact interpolated percentiles.
 

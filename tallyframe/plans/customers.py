@@ -10,6 +10,7 @@ from tallyframe.functions.text import blank_to_null, list_items, scaled_amount
 from tallyframe.operators.nearest import nearest_site
 from tallyframe.operators.ranking import top_rows
 from tallyframe.operators.reshape import explode_items, pivot_named, unpivot_non_null
+from tallyframe.operators.ranges import sort_cuts
 from tallyframe.operators.running import running_row_number
 
 PLATFORMS = ("mobile_app", "online_interface")
@@ -107,6 +108,8 @@ def banded_purchases(purchases: DataFrame, year: int, n: int = 5) -> DataFrame:
 def branch_priorities(customers: DataFrame, sites: DataFrame) -> DataFrame:
     """Nearest branch of each customer; per branch the customers are numbered from the closest on."""
     near = nearest_site(customers, sites, "address_lat", "address_long", "branch", "branch_lat", "branch_long")
-    # A branch may be nearest to very many customers.
-    ranked = running_row_number(near.select("branch", "customer", "distance"), ["branch"], ["distance", "customer"], "customer_priority")
+    near = near.select("branch", "customer", "distance")
+    # A branch may be nearest to very many customers. There is one row per customer, so those are counted instead.
+    cuts = sort_cuts(near, ["branch", "distance", "customer"], size=customers.count())
+    ranked = running_row_number(near, ["branch"], ["distance", "customer"], "customer_priority", cuts)
     return ranked.select("branch", "customer", round_half_up(F.col("distance"), 2).alias("distance"), "customer_priority")

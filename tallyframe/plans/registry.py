@@ -93,6 +93,7 @@ REPORTING: dict[str, Query] = {
         a.abroad_new_customers(s, d), reporting.customers_per_reporting_day(a.home_new_customers(s, d), a.holiday_lines(s))
     ),
     "asof_next": lambda s, d: reporting.next_event(table(s, d, "events"), "signup", "purchase"),
+    "asof_next_any": lambda s, d: reporting.next_event_of_anyone(table(s, d, "events"), "signup", "purchase"),
     "fill_down": lambda s, d: reporting.last_known_value(table(s, d, "events"), "signup"),
 }
 
@@ -196,6 +197,7 @@ ACCOUNTS: dict[str, Query] = {
     "allocation_days": lambda s, d: accounts.allocation_days(a.customer_nodes(s, d)),
     "avg_allocation_days": lambda s, d: accounts.avg_allocation_days(a.customer_nodes(s, d)),
     "allocation_percentiles": lambda s, d: accounts.allocation_percentiles(a.customer_nodes(s, d), a.regions(s, d)),
+    "amount_percentiles": lambda s, d: accounts.amount_percentiles(a.customer_transactions(s, d)),
     "txn_type_totals": lambda s, d: accounts.type_totals(a.customer_transactions(s, d)),
     "avg_deposits": lambda s, d: accounts.avg_deposits(a.customer_transactions(s, d)),
     "monthly_active_customers": lambda s, d: accounts.monthly_active_customers(a.customer_transactions(s, d)),

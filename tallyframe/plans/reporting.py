@@ -10,11 +10,15 @@ from tallyframe.operators.asof import asof_join, next_in_list
 from tallyframe.operators.running import fill_down, fill_up
 
 
+# Calendars have one row per day, whatever the size of the data: they are walked in one piece.
+_CALENDAR = 1
+
+
 def bank_holidays(lines: DataFrame) -> DataFrame:
     """Dates of a printed list whose year stands only on the first line of its block."""
     printed = lines.withColumn("printed", F.when(F.col("year") != "", F.col("year"))).drop("year")
     return (
-        fill_down(printed, [], ["line_no"], "printed", "year")
+        fill_down(printed, [], ["line_no"], "printed", "year", ranges=_CALENDAR)
         .filter("date <> ''")
         .select(F.try_to_date(F.concat("year", "date"), "yyyydd-MMM").alias("holiday"), "bank_holiday")
     )
@@ -27,7 +31,7 @@ def reporting_flags(new_customers: DataFrame, lines: DataFrame) -> DataFrame:
     closed = is_weekend(F.col("join_date")) | F.col("bank_holiday").isNotNull()
     flagged = joined.withColumn("reporting_flag", F.when(closed, "non-reporting day").otherwise("reporting day"))
     marked = flagged.withColumn("open_day", F.when(F.col("reporting_flag") == "reporting day", F.col("join_date")))
-    ahead = fill_up(marked, [], ["join_date"], "open_day", "next_reporting_date")
+    ahead = fill_up(marked, [], ["join_date"], "open_day", "next_reporting_date", ranges=_CALENDAR)
     return ahead.select(
         "join_date", F.dayname("join_date").alias("day_name"), "bank_holiday", "reporting_flag", "next_reporting_date", "new_customers"
     )
@@ -61,7 +65,7 @@ def aligned_calendar(home: DataFrame, abroad: DataFrame, lines: DataFrame, leave
     """
     home_days = customers_per_reporting_day(home, lines)
     away = abroad_days(abroad)
-    to_home = next_in_list(away, "reporting_date", home_days, "reporting_date", "dates", strict=False)
+    to_home = next_in_list(away, "reporting_date", home_days, "reporting_date", "dates", strict=False, ranges=_CALENDAR)
     moved = (
         away.join(to_home, "reporting_date")
         .filter("dates IS NOT NULL")
@@ -95,6 +99,13 @@ def next_event(events: DataFrame, origin: str, target: str) -> DataFrame:
     return asof_join(left, right, ["user_id"], "ts", ["next_event_id"]).select("event_id", "user_id", "next_event_id")
 
 
+def next_event_of_anyone(events: DataFrame, origin: str, target: str) -> DataFrame:
+    """Each event of type ``origin`` with the first strictly later ``target`` event of all users."""
+    left = events.filter(F.col("event_type") == origin).select("ts", "event_id")
+    right = events.filter(F.col("event_type") == target).select("ts", F.col("event_id").alias("next_event_id"))
+    return asof_join(left, right, [], "ts", ["next_event_id"]).select("event_id", "next_event_id")
+
+
 def last_known_value(events: DataFrame, event_type: str) -> DataFrame:
     """Fill-down: the value of the user's latest ``event_type`` event, on all rows from there on."""
     rows = events.select(

@@ -190,20 +190,24 @@ def holiday_lines(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, lines, "line_no int, year string, date string, bank_holiday string")
 
 
+# Orders that the calendar abroad takes; the one at home takes all others. No Tuesdays after the 20th abroad.
+_ABROAD = "coalesce(o_orderstatus = 'F' AND NOT (dayofweek(o_orderdate) = 3 AND day(o_orderdate) > 20), false)"
+
+
 def home_new_customers(spark: SparkSession, d: str) -> DataFrame:
     return (
         table(spark, d, "orders")
-        .filter("o_orderstatus = 'O'")
+        .filter(f"NOT {_ABROAD}")
         .groupBy(F.date_format(F.add_months("o_orderdate", _SHIFT_MONTHS), "M/d/yy").alias("date"))
         .agg(F.count("*").alias("new_customers"))
     )
 
 
 def abroad_new_customers(spark: SparkSession, d: str) -> DataFrame:
-    """Already reported by the other calendar: no Tuesdays after the 20th, its own month rule."""
+    """Already reported by the other calendar, with its own month rule."""
     return (
         table(spark, d, "orders")
-        .filter("o_orderstatus = 'F' AND NOT (dayofweek(o_orderdate) = 3 AND day(o_orderdate) > 20)")
+        .filter(_ABROAD)
         .groupBy(F.add_months("o_orderdate", _SHIFT_MONTHS).alias("day"))
         .agg(F.count("*").alias("new_customers"))
         .selectExpr(

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyframe.operators.running import running_sum
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A Parquet table."""
@@ -33,3 +35,26 @@ def read_tagged(spark: SparkSession, paths: Sequence[str], tag: str, pattern: st
     """Files of the same layout in one scan, marked with the part of the file name that ``pattern`` captures."""
     frame = spark.read.parquet(*paths)
     return frame.withColumn(tag, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
+
+
+def read_numbered(spark: SparkSession, paths: Sequence[str], out: str, format: str = "parquet", schema: str | None = None, **options: str) -> DataFrame:
+    """Rows of files with their number in file order from 1 on: files by their paths, rows as they stand in the file.
+
+    Parquet knows the place of a row in its file, so only the row counts of the
+    files are added up and the rows are not shuffled. Other formats (``csv``,
+    ``text`` ...) know where the split of a row begins: rows are numbered within
+    their split, which is never larger than the reader's partition size.
+    """
+    reader = spark.read.format(format).options(**options)
+    frame = (reader.schema(schema) if schema else reader).load(list(paths))
+    parquet = format == "parquet"
+    block = F.lit(0).cast("long") if parquet else F.col("_metadata.file_block_start")
+    place = F.col("_metadata.row_index") if parquet else F.monotonically_increasing_id()
+    rows = frame.select("*", F.col("_metadata.file_path").alias("_file"), block.alias("_block"), place.alias("_place"))
+    if not parquet:
+        within = Window.partitionBy("_file", "_block").orderBy("_place")
+        rows = rows.withColumn("_place", F.row_number().over(within) - 1)
+    sizes = frame.select(F.col("_metadata.file_path").alias("_file"), block.alias("_block")).groupBy("_file", "_block").agg(F.count("*").alias("_size"))
+    ends = running_sum(sizes, [], ["_file", "_block"], "_size", "_end").select("_file", "_block", (F.col("_end") - F.col("_size")).alias("_before"))
+    numbered = rows.join(ends, ["_file", "_block"]).withColumn(out, (F.col("_before") + F.col("_place") + 1).cast("long"))
+    return numbered.select(*frame.columns, out)
