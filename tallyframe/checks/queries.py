@@ -377,7 +377,8 @@ _ALL |= {
     ),
     "amount_percentiles": over(
         "ledger",
-        """SELECT txn_type, quantile_cont(v, 0.5) AS median_amount, quantile_cont(v, 0.8) AS percentile_80, quantile_cont(v, 0.95) AS percentile_95
+        f"""SELECT txn_type, {rounded('quantile_cont(v, 0.5)', 4)} AS median_amount, {rounded('quantile_cont(v, 0.8)', 4)} AS percentile_80,
+        {rounded('quantile_cont(v, 0.95)', 4)} AS percentile_95
         FROM (SELECT txn_type, txn_amount::DOUBLE AS v FROM ledger) GROUP BY 1""",
     ),
     "txn_type_totals": over("ledger", "SELECT txn_type, count(*) AS number_of_transactions, sum(txn_amount)::DOUBLE AS transaction_amount FROM ledger GROUP BY 1"),

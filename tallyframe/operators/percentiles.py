@@ -42,5 +42,5 @@ def exact_percentiles(
         place = (F.col("size") - 1) * F.lit(float(share))
         ends += [at(F.floor(place)).alias(f"low{i}"), at(F.ceil(place)).alias(f"high{i}"), F.max(place - F.floor(place)).alias(f"part{i}")]
     found = whole.groupBy(*keys).agg(*ends)
-    between = [F.expr(f"low{i} + (high{i} - low{i}) * part{i}").alias(name) for i, name in enumerate(shares)]
+    between = [F.expr(f"low{i} * (1 - part{i}) + high{i} * part{i}").alias(name) for i, name in enumerate(shares)]
     return found.select(*[F.col(k).alias(b) for k, b in zip(keys, by, strict=True)], *between)

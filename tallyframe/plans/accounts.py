@@ -54,9 +54,10 @@ def avg_allocation_days(nodes: DataFrame) -> DataFrame:
 
 
 def amount_percentiles(transactions: DataFrame) -> DataFrame:
-    """Exact interpolated percentiles of the amounts of each kind of transaction."""
+    """Exact interpolated percentiles of the amounts of each kind of transaction, to four digits after the point."""
     shares = {"median_amount": 0.5, "percentile_80": 0.8, "percentile_95": 0.95}
-    return exact_percentiles(transactions, ["txn_type"], "txn_amount", shares)
+    found = exact_percentiles(transactions, ["txn_type"], "txn_amount", shares)
+    return found.select("txn_type", *[round_half_up(F.col(name), 4).alias(name) for name in shares])
 
 
 def allocation_percentiles(nodes: DataFrame, regions: DataFrame) -> DataFrame:

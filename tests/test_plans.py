@@ -525,6 +525,6 @@ def test_a_large_key_among_small_ones(spark):
     con.register("t", data.toPandas().astype({"day": "Int64", "v": "Int64"}))
     over = "OVER (PARTITION BY k ORDER BY day NULLS FIRST, id ROWS UNBOUNDED PRECEDING)"
     want = con.sql(f"SELECT id, CAST(coalesce(sum(v) {over}, 0) AS BIGINT), CAST(last_value(v IGNORE NULLS) {over} AS BIGINT) FROM t").fetchall()
-    out = running_sum(data, ["k"], "day", ["id"], "v", "s")
-    out = fill_down(out, ["k"], "day", ["id"], "v", "f")
+    out = running_sum(data, ["k"], ["day", "id"], "v", "s", ranges=9)
+    out = fill_down(out, ["k"], ["day", "id"], "v", "f", ranges=9)
     assert sorted((r.id, r.s, r.f) for r in out.collect()) == sorted(want)
