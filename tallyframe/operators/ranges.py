@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PIECE_ROWS = 50_000  # a smaller piece is not worth a task
+PIECE_ROWS = 100_000  # a smaller piece is not worth a task
 _SAMPLE = 100  # sampled rows per piece: pieces then differ by some tens of per cent
 _SCALE = 2**53
 
