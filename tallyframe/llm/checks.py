@@ -38,12 +38,12 @@ def _list(words: list[str]) -> str:
 
 
 def _license_sql() -> str:
-    """Every window of every line against every template by plain set operations, without the filters of the join."""
+    """Every window of every text against every template by plain set operations, without the filters of the join."""
     words = lambda text: (
         f"list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
         r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
     )
-    size = max(len(t.split()) for t in TEMPLATES)
+    size = max(len(plain_words(t.encode())) for t in TEMPLATES)
     templates = ", ".join(
         f"({k}, '{label}', {_list(sorted({w.decode() for w in plain_words(t.encode())}))})"
         for k, (t, label) in enumerate(TEMPLATES.items())
@@ -59,21 +59,19 @@ places AS (
 base AS (
   SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY r),
-lines AS (SELECT r, {words('line')} AS words FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
 cut AS (
-  SELECT r, words AS block FROM lines WHERE len(words) BETWEEN 1 AND {2 * size}
-  UNION ALL
-  SELECT r, words[i + 1 : i + {2 * size}] FROM (
-    SELECT r, words, unnest(range(0, len(words) - {size}, {size})) AS i FROM lines WHERE len(words) > {2 * size})),
+  SELECT r, words[i + 1 : i + {2 * size}] AS block FROM (
+    SELECT r, words, unnest(range(0, greatest(len(words) - {size}, least(len(words), 1)), {size})) AS i FROM w)),
 b AS (SELECT row_number() OVER () AS id, r, block FROM cut),
 t(k, label, ws) AS (VALUES {templates}),
 m AS (
-  SELECT id, r, k, label, len(ws) AS n, len(list_intersect(ws, block)) AS common FROM b, t
+  SELECT id, r, k, label, len(ws) AS n, list_intersect(ws, block) AS own FROM b, t
   WHERE len(list_intersect(ws, block)) >= ceil(0.85 * len(ws) - 1e-9)),
 best AS (
-  SELECT r, label, common / n AS share FROM m
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY common / n DESC, n DESC, k) = 1),
-found AS (SELECT r, max(share) AS score, count(*) AS n_blocks FROM best GROUP BY r),
+  SELECT id, r, label, len(own) / n AS share FROM m
+  WHERE NOT EXISTS (SELECT 1 FROM m AS o WHERE o.id = m.id AND o.k <> m.k AND list_has_all(o.own, m.own)
+    AND (len(o.own) > len(m.own) OR (len(o.own) / o.n, o.n, -o.k) > (len(m.own) / m.n, m.n, -m.k)))),
+found AS (SELECT r, max(share) AS score, count(DISTINCT id) AS n_blocks FROM best GROUP BY r),
 named AS (
   SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM (SELECT r, label FROM places UNION SELECT r, label FROM best) GROUP BY r)

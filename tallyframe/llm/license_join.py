@@ -1,7 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A text block is a window of a line. A template is found in a block if the block
-holds at least `containment` of the template's distinct words. The words of the
+A text block is a window over the words of the whole text, wherever its lines
+end. A template is found in a block if the block holds at least `containment`
+of the template's distinct words; every template found counts, but for one
+whose words there are all words of another one found in the block. The words of the
 templates are ordered by their document frequency in the whole corpus, rarest
 first. A match needs `need` common words, so one of them stands in the first
 size - need + 1 of the template (prefix filter); the block must hold `need`
@@ -60,17 +62,9 @@ def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int
     return out
 
 
-def text_blocks(text: bytes, size: int) -> list[list[bytes]]:
-    """Words of each line, long lines as windows of 2 * size words that overlap by size words."""
-    out = []
-    for line in text.split(b"\n"):
-        words = plain_words(line)
-        if len(words) <= 2 * size:
-            if words:
-                out.append(words)
-        else:
-            out += [words[i : i + 2 * size] for i in range(0, len(words) - size, size)]
-    return out
+def text_blocks(words: list[bytes], size: int) -> list[list[bytes]]:
+    """Windows of 2 * size words that overlap by size words, so each run of size + 1 words stands in one of them."""
+    return [words[i : i + 2 * size] for i in range(0, max(len(words) - size, min(len(words), 1)), size)]
 
 
 def _word_frequencies(docs: DataFrame, words: frozenset[bytes]) -> dict[bytes, int]:
@@ -92,10 +86,12 @@ def scan_licenses(
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and n_blocks per row of docs.
 
-    base_*: places of the phrases. labels: theirs and that of
-    the best template of each block with a match; score: the largest containment among the matches, 0 without any;
-    n_blocks: blocks with a match. Null and empty texts have no words and no
-    labels. Repeated rows give repeated results, null ids pass through.
+    base_*: places of the phrases. labels: theirs and those of all templates
+    found in a block; score: the largest containment among these, 0 without any;
+    n_blocks: blocks with a match. Of two templates found by the same words the
+    one with the larger containment counts, then the longer, then the first.
+    Null and empty texts have no words and no labels; a long text is looked at
+    whole. Repeated rows give repeated results, null ids pass through.
     """
     phrases = PHRASES if phrases is None else phrases
     sets = [(frozenset(plain_words(t.encode())), label) for t, label in (templates or TEMPLATES).items()]
@@ -103,7 +99,7 @@ def scan_licenses(
     known = frozenset().union(*(s for s, _ in sets))
     seen = _word_frequencies(docs, known)
     rank = {w: i for i, w in enumerate(sorted(known, key=lambda w: (seen.get(w, 0), w)))}
-    size = max((len(t.split()) for t in (templates or TEMPLATES)), default=1)
+    size = max((len(plain_words(t.encode())) for t in (templates or TEMPLATES)), default=1) or 1
     ordered = [sorted(rank[w] for w in s) for s, _ in sets]
     needs = [max(1, math.ceil(containment * len(t) - 1e-9)) for t in ordered]
     least = min(needs, default=0)
@@ -128,7 +124,12 @@ def scan_licenses(
                     common = len(sets_[k].intersection(have))
                     if common >= needs[k]:
                         found[k] = common / len(sets_[k])
-        return found
+        if len(found) < 2:
+            return found
+        own = {k: sets_[k].intersection(have) for k in found}
+        order = {k: (found[k], len(sets_[k]), -k) for k in found}
+        covered = lambda k: any(own[k] < own[o] or (own[k] == own[o] and order[k] < order[o]) for o in found)
+        return {k: share for k, share in found.items() if not covered(k)}
 
     names = [label for _, label in sets]
     rare = frozenset(w for w in known if rank[w] in prefixes)
@@ -141,12 +142,11 @@ def scan_licenses(
             best: dict[str, float] = {}
             hit = 0
             if not rare.isdisjoint(words):  # a text without any prefix word has no candidate
-                for block in text_blocks(text, size):
+                for block in text_blocks(words, size):
                     found = matches(block)
                     hit += bool(found)
-                    if found:  # of templates that share their wording the one that fits best names the block
-                        k = max(found, key=lambda k: (found[k], len(ordered[k]), -k))
-                        best[names[k]] = max(found[k], best.get(names[k], 0.0))
+                    for k, share in found.items():
+                        best[names[k]] = max(share, best.get(names[k], 0.0))
             base = {label for _, _, label in places}
             rows.append(
                 (
