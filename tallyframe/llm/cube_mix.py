@@ -194,14 +194,25 @@ def mix_sources(
 def apply_mix(docs: DataFrame, **settings) -> DataFrame:
     """docs(doc_id, text, lang, source, n_chars) that the mix takes, each with `copies`, how often it is to be read.
 
-    Rows that repeat id and text each carry the largest number of copies among them.
+    Rows that repeat id, source and text become one row with the copies of all of them, so the words taken are
+    those of the mix; of other columns that differ among them the smallest values stay. Null ids, sources and
+    texts are values like others.
     """
     columns = ("doc_id", "text", "lang", "source", "n_chars")
     taken = (
         mix_sources(docs, **settings)
+        .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.col("key").alias("_key"))
+        .agg(F.sum("copies").cast("int").alias("copies"), F.count("*").alias("_rows"))
         .where(F.col("copies") > 0)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-        .agg(F.max("copies").alias("copies"))
     )
     rows = docs.select(*columns, _key().alias("_of"))
-    return rows.join(taken, (F.col("_of") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select(*columns, "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_from")) & (F.col("_of") == F.col("_key"))
+    chosen = rows.join(taken, same)
+    # Only rows that do repeat are gathered by id and text.
+    alone = chosen.where(F.col("_rows") == 1).select(*columns, "copies")
+    merged = (
+        chosen.where(F.col("_rows") > 1)
+        .groupBy("doc_id", "source", "_of", "copies")
+        .agg(*(F.min(name).alias(name) for name in ("text", "lang", "n_chars")))
+    )
+    return alone.unionByName(merged.select(*columns, "copies"))
