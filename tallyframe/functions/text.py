@@ -12,7 +12,17 @@ UNIT_PATTERN = r"[\sA-Za-z]"
 
 
 def blank_to_null(col: Column, markers: tuple[str, ...] = NULL_MARKERS) -> Column:
-    return F.when(F.trim(col).isin(*markers), None).otherwise(col)
+    """NULL for texts of no length and for the other markers, white space around them aside."""
+    bare = F.trim(col)
+    named = [m for m in markers if m]
+    blank = F.length(bare) == 0 if "" in markers else F.lit(False)
+    return F.when(blank | bare.isin(*named), None).otherwise(col)
+
+
+def before(col: Column, mark: str) -> Column:
+    """The part before the first ``mark`` by its position; text without the mark stays whole."""
+    at = F.position(F.lit(mark), col)
+    return F.when(at > 0, F.substring(col, F.lit(1), at - 1)).otherwise(col)
 
 
 def leading_number(col: Column) -> Column:

@@ -1,12 +1,14 @@
 """Nearest site by great-circle distance, without pairing all points with all sites.
 
-Points and sites are both summarised in square degree cells on six levels, a
-cell holding eight by eight cells of the next level, down to about 250 feet.
-From the coarsest level down, each cell with points keeps only the cells with
-sites that may hold the nearest site of any of its points: a real site in one
-of them gives an upper bound, the gap between two cells a lower bound. All this
-works on cells; only at the end do the points meet the sites in the few cells
-left for their own cell, which are compared exactly.
+Points and sites are both summarised in square degree cells on several levels,
+each cell holding up to eight by eight cells of the next level. How far down
+the levels go is counted: to the first one on which no cell holds more than
+``CROWD`` different site positions, at the latest to cells of four feet. From
+the coarsest level down, each cell with points keeps only the cells with sites
+that may hold the nearest site of any of its points: a real site in one of them
+gives an upper bound, the gap between two cells a lower bound. All this works
+on cells; only at the end do the points meet the sites in the few cells left
+for their own cell, which are compared exactly.
 """
 
 from __future__ import annotations
@@ -17,14 +19,17 @@ from pyspark.sql import functions as F
 from tallyframe.functions.geo import EARTH_MILES, great_circle_miles
 
 # The finest cell edge in degrees and how far each level is above it (as powers of two).
-LEAF_DEGREES = 180.0 / 2**18
-LEVELS = (15, 12, 9, 6, 3, 0)
+LEAF_DEGREES = 180.0 / 2**24
+LEVELS = (21, 18, 15, 12, 9, 6, 4, 2, 0)
+# Fixed value: a cell with more site positions than this is split, if a finer level is left.
+CROWD = 4
 # Fixed value: a level with no more cells than this on the whole earth is small enough to broadcast.
 _BROADCAST_CELLS = 1_000_000
 # Distances are compared to a thousandth of a mile: the cosine formula itself is
 # only good to about 0.0001 miles, and equal distances must be ties.
 RESOLUTION_DIGITS = 3
-_SLACK_MILES = 0.01
+# Bounds give way by the step in which distances are compared and by that error.
+_SLACK_MILES = 0.002
 
 
 def _latitude(name: str) -> Column:
@@ -86,10 +91,19 @@ def _cell_reach() -> Column:
     return F.lit(EARTH_MILES) * F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) + F.col("half_way")
 
 
-def _candidate_cells(place_cells: DataFrame, site_cells: DataFrame) -> DataFrame:
-    """For every leaf cell with points (py, px) the leaf cells (sy, sx) that may hold a nearest site."""
+def _levels_for(spots: DataFrame) -> tuple[int, ...]:
+    """The levels down to the first without a crowded cell; one number per level comes back from the sites."""
+    cells = F.array(*(F.struct(F.lit(steps).alias("steps"), *_up("y", "x", steps, "s")) for steps in LEVELS))
+    held = spots.select(F.inline(cells)).groupBy("steps", "sy", "sx").agg(F.count("*").alias("n"))
+    most = {r["steps"]: r["most"] for r in held.groupBy("steps").agg(F.max("n").alias("most")).collect()}
+    enough = next((i for i, steps in enumerate(LEVELS) if most.get(steps, 0) <= CROWD), len(LEVELS) - 1)
+    return LEVELS[: enough + 1]
+
+
+def _candidate_cells(place_cells: DataFrame, site_cells: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """For every cell with points (py, px) of the last level the cells (sy, sx) that may hold a nearest site."""
     pairs = None
-    for level, steps in enumerate(LEVELS):
+    for level, steps in enumerate(levels):
         size = LEAF_DEGREES * 2**steps
         rows, columns = int(180 / size) + 1, int(360 / size) + 1  # cells on the whole earth, edges included
         with_points, with_sites = _point_cells(place_cells, steps, size), _site_cells(site_cells, steps)
@@ -99,7 +113,7 @@ def _candidate_cells(place_cells: DataFrame, site_cells: DataFrame) -> DataFrame
             pairs = pairs.selectExpr("*", f"CAST(i DIV {columns} AS BIGINT) AS sy", f"CAST(i % {columns} AS BIGINT) AS sx")
             pairs = pairs.join(F.broadcast(with_sites), ["sy", "sx"])
         else:
-            wider = LEVELS[level - 1] - steps
+            wider = levels[level - 1] - steps
             with_points = with_points.select("*", *_up("py", "px", wider, "pp"))
             with_sites = with_sites.select("*", *_up("sy", "sx", wider, "ps"))
             if rows * columns <= _BROADCAST_CELLS:
@@ -115,6 +129,13 @@ def _candidate_cells(place_cells: DataFrame, site_cells: DataFrame) -> DataFrame
     return pairs
 
 
+def _meeting(places: DataFrame, spots: DataFrame, candidates: DataFrame, steps: int) -> DataFrame:
+    """The pairs of places and sites that are compared: those in a cell and in the cells left for it."""
+    places, spots = places.select("*", *_up("y", "x", steps, "p")), spots.select("*", *_up("y", "x", steps, "s"))
+    looked_at = places.join(candidates, ["py", "px"]).select("plat", "plong", "sy", "sx")
+    return looked_at.join(spots, ["sy", "sx"])
+
+
 def nearest_site(
     points: DataFrame, sites: DataFrame, point_lat: str, point_long: str, site: str, site_lat: str, site_long: str
 ) -> DataFrame:
@@ -136,18 +157,17 @@ def nearest_site(
         .agg(F.min(site).alias(site))
         .select("lat", "long", site, *_leaf("lat", "long"))
     )
+    levels = _levels_for(spots)
     # Each level is one small aggregation straight from the tables.
     candidates = _candidate_cells(
         points.select(*_leaf(point_lat, point_long)).dropna(),
         sites.select(*_leaf(site_lat, site_long), F.struct(F.col(site_lat).alias("lat"), F.col(site_long).alias("long")).alias("site_at")).dropna(),
+        levels,
     )
-
-    around = candidates.select(F.col("py").alias("y"), F.col("px").alias("x"), "sy", "sx")
-    looked_at = places.join(around, ["y", "x"]).select("plat", "plong", F.col("sy").alias("y"), F.col("sx").alias("x"))
+    meeting = _meeting(places, spots, candidates, levels[-1])
     miles = great_circle_miles(F.col("plat"), F.col("plong"), F.col("lat"), F.col("long"))
     best = (
-        looked_at.join(spots, ["y", "x"])
-        .groupBy("plat", "plong")
+        meeting.groupBy("plat", "plong")
         .agg(F.min(F.struct(F.round(miles, RESOLUTION_DIGITS).alias("distance"), site)).alias("best"))
         .select("plat", "plong", F.col("best")[site].alias(site), F.col("best.distance").alias("distance"))
     )

@@ -173,3 +173,34 @@ def test_nearest_site_in_one_dense_place(spark):
     places = spark.createDataFrame([(i, *s) for i, s in enumerate(sites)], "site int, slat double, slong double")
     for row in nearest.nearest_site(frame, places, "lat", "long", "site", "slat", "slong").collect():
         assert abs(row.distance - min(miles(points[row.p], s) for s in sites)) < 0.0011
+
+
+def test_nearest_site_splits_crowded_cells(spark, monkeypatch):
+    """Thousands of points and sites within 250 feet: a point meets a few sites, and rightly the nearest."""
+    rng = random.Random(8)
+    near = lambda n: [(52 + rng.uniform(0, 0.0007), 4.9 + rng.uniform(0, 0.0011)) for _ in range(n)]
+    points, sites = near(5000), near(1000)
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "p int, lat double, long double")
+    places = spark.createDataFrame([(i, *s) for i, s in enumerate(sites)], "site int, slat double, slong double")
+    met, pairs = nearest._meeting, []
+    monkeypatch.setattr(nearest, "_meeting", lambda *a: pairs.append(met(*a)) or pairs[-1])
+    out = {r.p: r for r in nearest.nearest_site(frame, places, "lat", "long", "site", "slat", "slong").collect()}
+    assert len(out) == 5000
+    for p in range(0, 5000, 100):
+        best = min((round(miles(points[p], s), 3), i) for i, s in enumerate(sites))
+        assert abs(out[p].distance - best[0]) < 0.0011
+        assert out[p].site == best[1] or abs(miles(points[p], sites[out[p].site]) - best[0]) < 0.0016
+    print("pairs per point", pairs[0].count() / 5000)
+    assert pairs[0].count() < 50 * 5000
+
+
+def test_nearest_site_stops_where_cells_are_sparse(spark):
+    """No finer level than the sites need."""
+    spots = spark.createDataFrame([(float(i), float(i)) for i in range(-80, 80, 5)], "lat double, long double")
+    spots = spots.select("lat", "long", *nearest._leaf("lat", "long"))
+    assert nearest._levels_for(spots) == nearest.LEVELS[:2]
+    assert nearest._levels_for(spots.limit(0)) == nearest.LEVELS[:1]
+
+
+def test_before_a_mark(spark):
+    assert values(spark, text.before(F.col("s"), "-"), "s string", ["DTB-1-2", "-x", "none", "", None]) == ["DTB", "", "none", "", None]
