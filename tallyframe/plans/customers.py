@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numbers import band, percent, round_half_up
 from tallyframe.functions.text import blank_to_null, list_items, scaled_amount
 from tallyframe.operators.nearest import nearest_site
 from tallyframe.operators.ranking import top_rows
-from tallyframe.operators.reshape import explode_items, pivot_named, unpivot_non_null
+from tallyframe.operators.reshape import explode_items
 from tallyframe.operators.ranges import sort_cuts
 from tallyframe.operators.running import running_row_number
 
@@ -21,17 +21,21 @@ PRICE_LIMIT = 100000.0
 
 
 def platform_ratings(survey: DataFrame) -> DataFrame:
-    """One row per customer and question, a column per platform; overall ratings are left out."""
-    questions = [c for c in survey.columns if c != "customer_id" and not c.endswith("overall_rating")]
-    long = unpivot_non_null(survey, ["customer_id"], questions, "question", "rating")
-    pattern = "^(" + "|".join(PLATFORMS) + ")_(.*)$"
-    named = long.select(
-        "customer_id",
-        F.lower(F.replace(F.regexp_extract("question", pattern, 2), F.lit("_"), F.lit(" "))).alias("category"),
-        F.regexp_extract("question", pattern, 1).alias("platform"),
-        "rating",
-    )
-    return pivot_named(named, ["customer_id", "category"], "platform", "rating", {p: p for p in PLATFORMS})
+    """One row per customer and question, a column per platform; overall ratings are left out.
+
+    The columns of a question are paired by name within the row, so nothing is
+    shuffled; a question without any rating gives no row.
+    """
+    asked = [c for c in survey.columns if c != "customer_id" and not c.endswith("overall_rating")]
+    topics = dict.fromkeys(c.removeprefix(f"{p}_") for p in PLATFORMS for c in asked if c.startswith(f"{p}_"))
+    none = F.lit(None).cast("int")
+
+    def question(topic: str) -> Column:
+        cells = [(F.col(f"{p}_{topic}") if f"{p}_{topic}" in asked else none).alias(p) for p in PLATFORMS]
+        return F.struct(F.lit(topic.replace("_", " ").lower()).alias("category"), *cells)
+
+    rows = survey.select("customer_id", F.inline(F.array(*map(question, topics))))
+    return rows.filter(F.coalesce(*PLATFORMS).isNotNull())
 
 
 def rating_segments(survey: DataFrame, digits: int = 1) -> DataFrame:

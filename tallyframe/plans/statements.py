@@ -57,5 +57,27 @@ def daily_balances(detail: DataFrame, path: DataFrame, accounts: DataFrame, star
 
 
 def balance_on(detail: DataFrame, path: DataFrame, accounts: DataFrame, start: date, end: date, selected: date) -> DataFrame:
-    """The rows of one selected day; the filter comes after the running sum."""
-    return daily_balances(detail, path, accounts, start, end).filter(F.col("date") == F.lit(selected))
+    """The rows that ``daily_balances`` has for one day, without its other days.
+
+    What moved from ``start`` up to the day is summed per account in one pass,
+    so an account is one row whatever the range; the movements of the day
+    itself are its value. A day outside the range has no rows.
+    """
+    zero, none = F.lit(0).cast("decimal(18,2)"), F.lit(None).cast("decimal(18,2)")
+    day = F.lit(selected)
+    asked = F.col("transaction_date").between(F.lit(start), day)
+    moves = payment_legs(detail.filter(asked), path).select(
+        "account", F.when(F.col("transaction_date") == day, F.col("value")).alias("moved"), F.col("value").alias("change")
+    )
+    opened = F.when(F.col("balance_date").between(F.lit(start), day), F.col("balance"))
+    openings = accounts.select(F.col("account_number").alias("account"), none.alias("moved"), opened.alias("change"))
+    others = payment_legs(detail.withColumn("value", none), path).select("account").distinct()
+    others = others.select("account", none.alias("moved"), none.alias("change"))
+    return (
+        moves.unionByName(openings)
+        .unionByName(others)
+        .filter(F.lit(start <= selected <= end))
+        .groupBy("account")
+        .agg(F.sum("moved").alias("transaction_value"), F.sum(F.coalesce("change", zero)).alias("balance"))
+        .select("account", day.alias("date"), "transaction_value", "balance")
+    )

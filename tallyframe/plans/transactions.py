@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numbers import round_half_up
-from tallyframe.functions.text import prefix_before
+from tallyframe.functions.text import before, prefix_before
 from tallyframe.operators.ranking import top_rows
 from tallyframe.operators.reshape import pivot_named, unpivot_non_null
 
@@ -95,7 +95,7 @@ def monthly_rank_enrichment(transactions: DataFrame) -> DataFrame:
     month_name = F.date_format(F.make_date(F.lit(2000), F.col("sortmonth"), F.lit(1)), "MMMM")
     summary = (
         transactions.groupBy(
-            F.month("transaction_date").alias("sortmonth"), prefix_before(F.col("transaction_code"), "-").alias("bank")
+            F.month("transaction_date").alias("sortmonth"), before(F.col("transaction_code"), "-").alias("bank")
         )
         .agg(F.sum("value").alias("value"))
         .withColumn("transaction_month", month_name)

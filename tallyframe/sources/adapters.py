@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.sources.tables import inline_rows, table
+from tallyframe.sources.tables import inline_rows, stack_tagged, table
 
 # Month names in calendar order.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
@@ -78,25 +78,36 @@ def quarterly_targets(spark: SparkSession) -> DataFrame:
 
 
 def new_customer_sheets(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """A sheet per month with three attribute rows per customer; every tenth customer is in two sheets.
+    """A sheet of customers per month; every tenth customer is in two sheets.
 
     One sheet spells a column differently, so they only match by position.
     """
     sheets = "CASE WHEN c_custkey % 10 = 0 THEN array(c_custkey % 12, (c_custkey + 5) % 12) ELSE array(c_custkey % 12) END"
-    people = table(spark, d, "customer").join(table(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"))
+    people = table(spark, d, "customer")
 
     def sheet(number: int) -> DataFrame:
         return people.filter(F.array_contains(F.expr(sheets), F.lit(number).cast("bigint"))).selectExpr(
             "c_custkey AS id",
             "CAST(c_custkey % 28 + 1 AS INT) AS joining_day",
-            "explode(map('Ethnicity', c_mktsegment, 'Account Type', n_name,"
-            " 'Date of Birth', CAST(date_add(DATE'1950-01-01', CAST(c_custkey % 18000 AS INT)) AS STRING)))"
-            f" AS ({'demagraphic' if number == 7 else 'demographic'}, value)",
+            f"c_mktsegment AS {'ethnicty' if number == 7 else 'ethnicity'}",
+            "c_nationkey AS account_type",
+            "CAST(date_add(DATE'1950-01-01', CAST(c_custkey % 18000 AS INT)) AS STRING) AS date_of_birth",
         )
 
     return {month: sheet(number) for number, month in enumerate(MONTHS)}
 
 
+def new_customer_facts(spark: SparkSession, d: str) -> DataFrame:
+    """All sheets on top of one another, then one join with the names, as three attribute rows per customer."""
+    stacked = stack_tagged(new_customer_sheets(spark, d), "period")
+    return stacked.join(table(spark, d, "nation"), F.expr("account_type = n_nationkey")).selectExpr(
+        "id",
+        "joining_day",
+        "period",
+        "explode(map('Ethnicity', ethnicity, 'Account Type', n_name, 'Date of Birth', date_of_birth)) AS (demographic, value)",
+    )
+
+
 def survey_ratings(spark: SparkSession, d: str) -> DataFrame:
     topics = ("ease_of_use", "ease_of_access", "navigation", "likelihood_to_recommend", "overall_rating")
     names = [f"{p}_{t}" for p in ("mobile_app", "online_interface") for t in topics]
@@ -143,8 +154,8 @@ def payment_detail(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def share_sheets(spark: SparkSession, d: str) -> dict[int, DataFrame]:
-    """A sheet of purchases per month; one spells a column differently, so they only match by position."""
+def share_purchases(spark: SparkSession, d: str) -> DataFrame:
+    """The purchases of all months in one scan, each with the number of its monthly file."""
     cents = "(p_partkey * 7919) % 10000001"
     columns = [
         "CASE WHEN p_partkey % 10 = 9 THEN 'n/a'"
@@ -156,10 +167,9 @@ def share_sheets(spark: SparkSession, d: str) -> dict[int, DataFrame]:
         "p_type AS sector",
         "p_brand AS market",
         "p_name AS stock_name",
+        "CAST(p_partkey % 12 + 1 AS INT) AS file",
     ]
-    parts = table(spark, d, "part")
-    sheets = {month: parts.filter(f"p_partkey % 12 + 1 = {month}").selectExpr(*columns) for month in range(1, 13)}
-    return sheets | {5: sheets[5].withColumnRenamed("stock_name", "stockname")}
+    return table(spark, d, "part").selectExpr(*columns)
 
 
 # --- places and calendars ----------------------------------------------------

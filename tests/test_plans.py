@@ -281,6 +281,15 @@ def test_every_day_has_a_balance(bank):
     assert sorted((r.account, r.balance) for r in one.collect()) == [(10, 950), (11, 50), (12, 0)]
 
 
+def test_one_day_equals_the_grid(bank):
+    """A selected day has the rows of the grid on that day, before, on and after the movements, and none outside."""
+    first, last = date(2023, 1, 31), date(2023, 2, 4)
+    grid = [tuple(r) for r in statements.daily_balances(*bank, first, last).collect()]
+    for day in (first, date(2023, 2, 1), date(2023, 2, 3), last, date(2023, 2, 5)):
+        one = [tuple(r) for r in statements.balance_on(*bank, first, last, day).collect()]
+        assert sorted(one, key=str) == sorted((r for r in grid if r[1] == day), key=str)
+
+
 # --- accounts ----------------------------------------------------------------
 
 @pytest.fixture(scope="module")
