@@ -293,6 +293,59 @@ def test_passages_around_other_text(spark):
         assert got[i] == ",".join(f"{a}:{b}" for a, b in runs if b - a >= 50)
 
 
+def test_passage_of_two_beside_a_line_of_many(spark):
+    number = itertools.count()
+    own = lambda n: [f"w{next(number)}" for _ in range(n)]
+    passage = own(55)
+    docs = [own(30 + i) + passage + own(20) for i in range(2)]
+    docs += [own(10) + passage[:40] + own(25) for _ in range(300)]  # 40 words are too few for a passage
+    order = list(range(len(docs)))
+    random.Random(4).shuffle(order)
+    out = {r["doc_id"]: r for r in passages.repeated_passages(frame(spark, [" ".join(docs[i]) for i in order])).collect()}
+    for place, i in enumerate(order):
+        row = out[place]
+        assert (row["spans"], row["n_links"]) == ((f"{30 + i}:{85 + i}", 1) if i < 2 else ("", 0))
+    assert len({out[order.index(i)]["class_id"] for i in range(2)}) == 1
+
+
+def test_recall_of_changed_passages(spark):
+    """Of passages that keep 80 % of their words or more, nine in ten at least are found at every length and rate."""
+    rng, number, docs, kinds = random.Random(8), itertools.count(), [], []
+    own = lambda n: [f"w{next(number)}" for _ in range(n)]
+    for n in (60, 100, 200):
+        for rate in (0.05, 0.1, 0.15):
+            for _ in range(40):
+                passage = own(n)
+                changed = set(rng.sample(range(n), round(rate * n)))
+                other = [own(1)[0] if i in changed else w for i, w in enumerate(passage)]
+                docs += [own(90) + passage + own(90), own(70) + other + own(120)]
+                kinds.append((n, rate))
+    out = {r["doc_id"]: r for r in passages.repeated_passages(frame(spark, [" ".join(d) for d in docs])).collect()}
+    found = defaultdict(list)
+    for i, kind in enumerate(kinds):
+        found[kind].append(out[2 * i]["n_links"] == out[2 * i + 1]["n_links"] == 1)
+    assert all(np.mean(hits) >= 0.9 for hits in found.values()), {kind: np.mean(hits) for kind, hits in found.items()}
+
+
+def test_long_changed_ends(spark):
+    """An end without a seed of its own is followed over the whole text, whatever its length."""
+    own = lambda tag, n: [f"{tag}{i}" for i in range(n)]
+    end = own("e", 203)
+    other = [f"x{i}" if i % 6 == 5 else w for i, w in enumerate(end)]  # five of six words, never six in a row
+    docs = [own("a", 20) + own("p", 30) + end + own("b", 40), own("c", 25) + own("p", 30) + other + own("d", 30)]
+    out = {r["doc_id"]: r for r in passages.repeated_passages(frame(spark, [" ".join(d) for d in docs])).collect()}
+    assert (out[0]["spans"], out[1]["spans"]) == ("20:253", "25:258")
+
+
+def test_leftover_chains_hold_every_segment():
+    rng = random.Random(6)
+    for _ in range(50):
+        segments = sorted({(rng.randrange(400), rng.randrange(400), 6) for _ in range(rng.randrange(1, 40))})
+        got = passages.chains(segments, 0.25, 25)
+        assert sorted(s for chain in got for s in chain) == segments
+        assert all(a[0] + a[2] <= b[0] and a[1] + a[2] <= b[1] for chain in got for a, b in itertools.pairwise(chain))
+
+
 def test_common_words_of_gaps():
     rng = np.random.default_rng(3)
     for n, m in ((0, 5), (5, 0), (9, 9), (30, 50), (300, 250)):
