@@ -443,6 +443,21 @@ def test_katz_brute(spark, texts):
         assert sum(p(h, w) for w in one) + p(h, b"?") == pytest.approx(1)
 
 
+def test_katz_folds_letters(spark):
+    """A-Z are a-z, other capitals stay; only ASCII white space cuts."""
+    texts = ["The THE the\x0bThE", "ÄB äb Äb", "the\u00a0The\x1cx \u212a K k", None, "", "İ the", "QED ÄB"]
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    out = {r["doc_id"]: r for r in katz.score_texts(frame(spark, texts), held).collect()}
+    fold = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    tokens = {i: [*re.findall(r"[^\x20\x09-\x0D]+", fold(t)), None] for i, t in enumerate(texts)}
+    train = Counter(w for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
+    total = sum(train.values())
+    for i, ws in tokens.items():
+        assert (out[i]["n_tokens"], out[i]["n_known"], out[i]["train_tokens"]) == (len(ws), sum(train[w] > 0 for w in ws), total)
+        assert out[i]["held_out"] == (zlib.crc32(str(i).encode()) % 7 == 2)
+        assert out[i]["base_score"] == pytest.approx(sum(math.log10((train[w] + 1) / (total + len(train) + 1)) for w in ws), abs=1e-9)
+
+
 def test_targets():
     got = cube_mix.source_targets([("b", 100), (None, 1000), ("a", 10)], 1.5, 2.0, (5, 2, 1))
     assert got["a"] == 20 and got["b"] == 200 and got[None] == pytest.approx(1665 - 220)
