@@ -66,7 +66,8 @@ def sort_cuts(source: DataFrame, keys: Sequence[str], ranges: int | None = None,
     picked: list = []
     if pieces > 1:
         share = F.pmod(F.xxhash64(*rows.columns), F.lit(_SCALE)).cast("double") * F.lit(max(n, 1) / _SCALE)
-        sample = rows.where(share < F.lit(float(pieces * _SAMPLE))).coalesce(1).sortWithinPartitions(*rows.columns).collect()
+        # A shuffle, not a coalesce, which would pull the whole source into the one task that sorts.
+        sample = rows.where(share < F.lit(float(pieces * _SAMPLE))).repartition(1).sortWithinPartitions(*rows.columns).collect()
         places = sorted({len(sample) * i // pieces for i in range(1, pieces)})
         picked = [sample[p] for p in places if p < len(sample)]
     kind = T.StructType([T.StructField("b", T.ArrayType(rows.schema))])

@@ -190,3 +190,17 @@ def test_statement_with_one_hot_account_day(spark):
                 expected[-1 - (i - j)][3] = balance
     key = lambda r: (r[0], r[1], r[2] is not None, r[2] or 0, r[3])
     assert sorted((tuple(r) for r in got), key=key) == sorted((tuple(r) for r in expected), key=key)
+
+
+def test_borders_are_read_by_all_tasks(spark):
+    """Only the chosen keys meet in one task, not the table."""
+    context = spark.sparkContext
+    source = spark.range(0, 8_000, numPartitions=8).withColumn("day", F.col("id") % 30)
+    context.setJobGroup("borders", "borders")
+    try:
+        assert sort_cuts(source, ["day", "id"], ranges=4, size=8_000).pieces == 4
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("borders")]
+    assert max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds) == 8
