@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.dates import clock, minute_steps, week_start, weekday_from_sunday
 from tallyframe.functions.numbers import percent_text, ratio, round_half_up
 from tallyframe.functions.text import blank_to_null, leading_number, list_ids
+from tallyframe.operators.ranges import free_name
 from tallyframe.operators.reshape import explode_items
 from tallyframe.operators.running import running_row_number
 
@@ -224,16 +225,24 @@ def _names_of(rows: DataFrame, column: str, toppings: DataFrame, out: str, texts
 
     Every distinct list text is named once and joined back. Ids without a name
     are left out; an id with several names has them all. ``texts`` is a cheaper
-    table with the same list texts, if there is one.
+    table with the same list texts, if there is one. Rows without a list find
+    nothing, so a hash of the row deals them evenly over the tasks; the names
+    are shuffled once more, so that Spark knows their size at the join and can
+    broadcast them or split the rows of a frequent text.
     """
     texts = (rows if texts is None else texts).select(F.col(column).alias("list_text")).filter("list_text IS NOT NULL").distinct()
+    deal, found = free_name(rows, "_deal"), free_name(rows, "_found")
     named = (
         explode_items(texts, list_ids(F.col("list_text")), "topping_id")
         .join(toppings, "topping_id")
-        .groupBy(F.col("list_text").alias(column))
-        .agg(F.sort_array(F.collect_list("topping_name")).alias(out))
+        .groupBy(F.col("list_text").alias(found))
+        # An aggregate and not a constant, which Spark would take out of the join's keys.
+        .agg(F.sort_array(F.collect_list("topping_name")).alias(out), F.min(F.lit(0).cast("long")).alias(deal))
+        .repartition(found, deal)
     )
-    return rows.join(named, column, "left")
+    dealt = rows.withColumn(deal, F.when(F.col(column).isNull(), F.xxhash64(*rows.columns)).otherwise(F.lit(0)))
+    same = (dealt[column] == named[found]) & (dealt[deal] == named[deal])
+    return dealt.join(named, same, "left").select(*[dealt[c] for c in rows.columns], named[out])
 
 
 def _with_names(rows: DataFrame, lines: DataFrame, toppings: DataFrame) -> DataFrame:

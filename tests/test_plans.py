@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import SparkRuntimeException
+from pyspark.sql import functions as F
 
 from tallyframe.plans import accounts, customers, delivery, loyalty, lookup, reporting, statements, subscription, transactions
 
@@ -470,6 +471,26 @@ def test_unknown_and_doubled_toppings(shop, spark):
     assert [r.ingredient_list for r in out.collect()] == ["Meatlovers: "]
 
 
+def test_rows_without_lists_are_dealt_evenly(spark, shop):
+    """Most rows have no list; they must not meet in the task of NULL."""
+    rows = spark.range(4_000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN CAST(id % 5 AS STRING) END AS extras")
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in plain}
+    for k, v in plain.items():
+        spark.conf.set(k, v)
+    try:
+        named = delivery._names_of(rows, "extras", shop["toppings"], "names")
+        # The names are counted too, or Spark would leave out the join.
+        parts = named.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count("names").alias("named"))
+        sizes = [r.n for r in parts.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4_000 and max(sizes) < 2_000
+    known = {str(r.topping_id): [r.topping_name] for r in shop["toppings"].collect()}
+    assert all(r.names == (known.get(r.extras) if r.extras else None) for r in named.collect())
+
+
 def test_undated_movement_comes_first(spark):
     from tallyframe.operators.ledger import statement
 
