@@ -1,16 +1,16 @@
 """Personal data by information-theoretic sanitisation, in DataFrame functions only.
 
-Patterns find the protected entities. A word beside an entity (same line,
-within `reach` code points) discloses it as far as the corpus ties the two
-together: the pointwise mutual information of word and entity over documents,
-as a share of the entity's own information. Words whose share reaches the
-threshold are spans too; `sanitise` replaces entities by their kind and
-generalises or removes such words.
+Patterns find the protected entities. A word of a text with an entity, anywhere
+in it, discloses the entity as far as the corpus ties the two together: the
+pointwise mutual information of word and entity over documents, as a share of
+the entity's own information. Words whose share reaches the threshold are spans
+too, wherever they stand in such a text; `sanitise` replaces entities by their
+kind and generalises or removes such words.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import stored
@@ -105,59 +105,60 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", parts)
 
 
-def _beside(found: DataFrame, reach: int) -> DataFrame:
-    """row, entity and each word beside it with its span; cut words at the ends of what is looked at stay out."""
-    each = found.where(F.size("base") > 0).select("row", "text", F.explode("base").alias("e"))
-    from_ = F.greatest(F.col("e.start") - reach, F.lit(0))
-    left = F.substring("text", from_ + 1, F.col("e.start") - from_)
-    right = F.substring("text", F.col("e.end") + 1, F.lit(reach))
-    left = F.substring_index(left, "\n", -1)
-    left = F.when(F.length(left) == reach, F.regexp_replace(left, rf"^{_WORD}", "")).otherwise(left)
-    right = F.substring_index(right, "\n", 1)
-    right = F.when(F.length(right) == reach, F.regexp_replace(right, rf"{_WORD}$", "")).otherwise(right)
-    sides = F.array(
-        F.struct((F.col("e.start") - F.length(left)).alias("at"), left.alias("part")),
-        F.struct(F.col("e.end").alias("at"), right.alias("part")),
+def _named(found: DataFrame, support: int) -> DataFrame:
+    """row, entity and n_entity, its documents, for entities of `support` documents at least; others can tell nothing."""
+    each = found.where(F.size("base") > 0).select("row", F.explode("base").alias("e"))
+    entity = F.concat_ws(":", F.col("e.rank").cast("string"), F.lower("e.value"))
+    each = each.select("row", entity.alias("entity")).distinct()
+    often = each.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    return each.join(often, "entity")
+
+
+def _words_around(found: DataFrame, named: DataFrame) -> DataFrame:
+    """row and its words, (start, end, value), that overlap no entity, over the whole texts of the rows in named.
+
+    Words and entities of a text are walked in the order of their starts, so
+    time grows with their number and not with the product.
+    """
+    rows = found.join(named.select("row").distinct(), "row", "left_semi")
+    words = rows.select("row", F.explode(_places(F.col("text"), _WORD, len(KINDS))).alias("s"))
+    both = words.unionByName(rows.select("row", F.explode("base").alias("s"))).select(
+        "row", "s.start", "s.end", "s.value", (F.col("s.rank") == len(KINDS)).alias("is_word")
     )
-    rank = len(KINDS)
-    words = each.select(
-        "row", F.concat_ws(":", F.col("e.rank").cast("string"), F.lower("e.value")).alias("entity"), F.explode(sides).alias("s")
-    ).select("row", "entity", F.col("s.at").alias("at"), F.explode(_places(F.col("s.part"), _WORD, rank)).alias("w"))
-    return words.select(
-        "row",
-        "entity",
-        F.lower("w.value").alias("term"),
-        (F.col("at") + F.col("w.start")).cast("int").alias("start"),
-        (F.col("at") + F.col("w.end")).cast("int").alias("end"),
-        F.col("w.value").alias("value"),
-    ).where(F.length("term") >= 3)
-
-
-def disclosing_terms(beside: DataFrame, texts: DataFrame, threshold: float, support: int) -> DataFrame:
+    order = Window.partitionBy("row").orderBy("start", "is_word")
+    entity = lambda name: F.when(~F.col("is_word"), F.col(name))
+    both = both.withColumn("_till", F.max(entity("end")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("_next", F.min(entity("start")).over(order.rowsBetween(0, Window.unboundedFollowing)))
+    free = (F.coalesce("_till", F.lit(0)) <= F.col("start")) & (F.col("_next").isNull() | (F.col("_next") >= F.col("end")))
+    free = both.where(F.col("is_word") & free)
+    return free.groupBy("row").agg(F.collect_list(F.struct("start", "end", "value")).alias("words"))
+
+
+def disclosing_terms(words: DataFrame, named: DataFrame, texts: DataFrame, threshold: float, support: int) -> DataFrame:
     """(entity, term) whose share of the entity's information reaches the threshold, counted over all documents."""
     n = texts.count()
-    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^0-9a-z\x{80}-\x{10FFFF}]++"))).alias("term"))
-    frequency = words.where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_term"))
-    pairs = beside.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    entities = beside.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    all_ = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^0-9a-z\x{80}-\x{10FFFF}]++"))).alias("term"))
+    frequency = all_.where(F.length("term") > 0).groupBy("term").agg(F.count("*").alias("n_term"))
+    there = words.select("row", F.explode(F.array_distinct(F.transform("words", lambda w: F.lower(w["value"])))).alias("term"))
+    pairs = there.join(named, "row").groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_both"))
     share = F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term"))) / F.log(F.lit(n) / F.col("n_entity"))
     return (
-        pairs.where(F.col("n_both") >= support)
-        .join(entities, "entity")
+        pairs.where((F.col("n_both") >= support) & (F.col("n_entity") < n))
         .join(frequency, "term")
-        .where((F.col("n_entity") < n) & (share >= threshold))
+        .where(share >= threshold)
         .select("entity", "term")
     )
 
 
 def find_personal_data(
-    docs: DataFrame, threshold: float = 0.9, support: int = 3, reach: int = 120, keep: tuple[str, ...] = ()
+    docs: DataFrame, threshold: float = 0.9, support: int = 3, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """doc_id, base and spans, arrays of (start, rank, end, value), and the columns to keep, per row of docs(doc_id, text).
 
     Ranks number KINDS, then terms; positions are code points, ends exclusive;
     spans holds the entities and the terms that disclose one and overlap none.
-    A term counts only if it stands beside the entity in `support` documents.
+    A term counts if it stands with the entity in `support` documents, anywhere in
+    their texts, and is a span wherever it stands in a text with that entity.
     Null and empty texts have no spans. Repeated rows count as documents of
     their own and give repeated results; null ids pass through.
     """
@@ -175,15 +176,15 @@ def find_personal_data(
         ),
         "entities",
     )
-    beside = stored(_beside(found, reach), "beside")
+    named = stored(_named(found, support), "named")
+    words = stored(_words_around(found, named), "words")
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    told = disclosing_terms(beside, texts, threshold, support)
-    span = F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", "value")
-    terms = beside.join(told, ["entity", "term"]).groupBy("row").agg(F.collect_set(span).alias("terms"))
-    free = F.filter(
-        F.coalesce("terms", F.array().cast(_SPANS)),
-        lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
+    told = disclosing_terms(words, named, texts, threshold, support)
+    told = told.join(named, "entity").groupBy("row").agg(F.collect_set("term").alias("told"))
+    span = lambda w: F.struct(w["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), w["end"].alias("end"), w["value"].alias("value"))
+    here = F.filter("words", lambda w: F.array_contains("told", F.lower(w["value"])))
+    terms = words.join(told, "row").select("row", F.transform(here, span).alias("terms"))
+    free = F.coalesce("terms", F.array().cast(_SPANS))
     return found.join(terms, "row", "left").select(
         "doc_id",
         "base",
@@ -205,14 +206,14 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def sanitise(docs: DataFrame, threshold: float = 0.9, support: int = 3, reach: int = 120) -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = 0.9, support: int = 3) -> DataFrame:
     """docs(doc_id, text, lang, source, n_chars) with entities as [kind]; disclosing terms lose their digits or go.
 
     A term with digits is generalised (each digit becomes 0), any other is
     removed as [term]. Where spans overlap the first one hides both. Texts
     without spans, null ones among them, stay as they are.
     """
-    found = find_personal_data(docs, threshold, support, reach, keep=("text", "lang", "source", "n_chars"))
+    found = find_personal_data(docs, threshold, support, keep=("text", "lang", "source", "n_chars"))
     names = F.array(*(F.lit(f"[{k}]") for k in KINDS))
 
     def put(acc: Column, s: Column) -> Column:

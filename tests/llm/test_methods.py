@@ -497,6 +497,20 @@ def test_disclosing_terms(spark):
     assert clean[1] == "write to [email] about zebra0 and the weather" and clean[20] == texts[20]
 
 
+def test_disclosing_terms_anywhere(spark):
+    """Other lines, far places, short words and every place of a word count; words that touch an entity are part of it."""
+    far = "the weather and about to write\n" * 30
+    texts = [f"qx is here\n{far}see x{i % 2}@mail.org\n\n{far}zebra{i % 2} and ZEBRA{i % 2}" if i % 2 == 0 else far + "1.2.3.4" for i in range(8)]
+    texts += [far] * 40
+    docs = frame(spark, texts)
+    got = {r["doc_id"]: r for r in pii.digest(pii.find_personal_data(docs)).collect()}
+    for i, text in enumerate(texts):
+        told = [m.span() for m in re.finditer("qx|zebra0|ZEBRA0|is|here|see", text)] if i < 8 and i % 2 == 0 else []
+        kinds = [(m.start(), "email", m.end()) for m in re.finditer(r"x0@mail\.org", text)] + [(a, "term", b) for a, b in told]
+        kinds += [(m.start(), "ip", m.end()) for m in re.finditer(r"1\.2\.3\.4", text)]
+        assert got[i]["spans"] == ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(kinds))
+
+
 def test_entities_brute(spark):
     import re
 
