@@ -43,16 +43,21 @@ def _term_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in _bounded(batch):
                 texts, langs, sources = (c.cast(pa.binary()).to_pylist() for c in part.columns)
-                total: Counter = Counter()
-                within: Counter = Counter()
-                for text, lang, source in zip(texts, langs, sources, strict=True):
-                    for term, n in Counter(text.translate(_LETTERS).split()).items():
-                        key = (lang, source, term)
-                        total[key] += n
-                        within[key] += 1
-                names = [pa.array([k[i] for k in total], pa.binary()).cast(pa.string()) for i in range(3)]
-                numbers = [pa.array(list(c.values()), pa.int64()) for c in (total, within)]
-                yield pa.RecordBatch.from_arrays([*names, *numbers], names=["lang", "source", "term", "n", "df"])
+                # A counter per group takes a whole text at once; a key of three parts would cost a step for each word.
+                groups: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+                for text, *key in zip(texts, langs, sources, strict=True):
+                    total, within = groups.setdefault(tuple(key), (Counter(), Counter()))
+                    words = text.translate(_LETTERS).split()
+                    total.update(words)
+                    within.update(set(words))
+                places = np.repeat(np.arange(len(groups)), [len(total) for total, _ in groups.values()])
+                names = [pa.array([key[i] for key in groups], pa.binary()).cast(pa.string()).take(pa.array(places)) for i in range(2)]
+                terms = pa.array([t for total, _ in groups.values() for t in total], pa.binary()).cast(pa.string())
+                numbers = [
+                    pa.array([n for total, _ in groups.values() for n in total.values()], pa.int64()),
+                    pa.array([within[t] for total, within in groups.values() for t in total], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays([*names, terms, *numbers], names=["lang", "source", "term", "n", "df"])
 
     counted = docs.mapInArrow(count, "lang string, source string, term string, n long, df long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
