@@ -24,10 +24,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import WordHash, map_rows, mixed, plain_words, rolling, stored, uniform
+from tallyframe.llm.common import WordHash, _bounded, map_rows, mixed, plain_words, rolling, stored, uniform
 from tallyframe.llm.components import components
 
 REGISTERS, BANDS = 64, 16
+_SLICE = 2 << 20  # bytes of rows that a task works on at once: its arrays are many times as large
 _STEP, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -116,7 +117,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
     docs = docs.select("doc_id", "text", _key().alias("key"))
     kinds = {"doc_id": "bigint", "text": "string", "key": "bigint"}
     schema = "doc_id bigint, key bigint, n bigint, same binary, bands array<bigint>, marks binary"
-    return map_rows(docs, kinds, work, schema, start=WordHash).withColumn("row", F.monotonically_increasing_id())
+    return map_rows(docs, kinds, work, schema, start=WordHash, size=_SLICE).withColumn("row", F.monotonically_increasing_id())
 
 
 def _bags(texts: DataFrame, size: int) -> DataFrame:
@@ -129,7 +130,7 @@ def _bags(texts: DataFrame, size: int) -> DataFrame:
             packed.append(np.sort((bag >> np.uint64(32)).astype(np.uint32)).tobytes())
         return {"row": pa.array(rows, pa.int64()), "bag": pa.array(packed, pa.binary())}
 
-    return map_rows(texts, {"row": "bigint", "text": "string"}, work, "row bigint, bag binary", start=WordHash)
+    return map_rows(texts, {"row": "bigint", "text": "string"}, work, "row bigint, bag binary", start=WordHash, size=_SLICE)
 
 
 def _overlap(a, b) -> float:
@@ -149,8 +150,8 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """Those of pairs(a, b) whose bags overlap enough."""
 
     def check(batches):
-        for batch in batches:
-            a, b, x, y = (c.to_pylist() for c in batch.columns)
+        for part in (p for batch in batches for p in _bounded(batch, _SLICE)):
+            a, b, x, y = (c.to_pylist() for c in part.columns)
             ok = [_overlap(p, q) >= threshold - 1e-12 for p, q in zip(x, y, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v for v, k in zip(c, ok, strict=True) if k], pa.int64()) for c in (a, b)], names=["a", "b"]

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from tallyframe.llm import (
     quality_forest,
     toxicity,
 )
-from tallyframe.llm.common import WordHash, plain_words, rolling, stored
+from tallyframe.llm.common import WordHash, map_rows, plain_words, rolling, stored
 from tallyframe.llm.components import components
 from tallyframe.llm.packed import narrow, pack, unpack
 
@@ -392,6 +393,20 @@ def test_near_duplicates_brute(spark, texts, hubs, block):
     assert len(kept) == len(set(kept)) == len({r["class_id"] for r in classes})
 
 
+def test_signatures_take_small_slices(spark, monkeypatch):
+    """A task signs few rows at once, whatever Spark hands it: its arrays are many times as large as the texts."""
+    taken = []
+
+    def seen(df, columns, work, schema, start=None, size=8 << 20):
+        taken.append(size)
+        return map_rows(df, columns, lambda *a: {"n": pa.array([len(a[1])] * len(a[1]), pa.int64())}, "n bigint", start, size)
+
+    monkeypatch.setattr(bag_minhash, "map_rows", seen)
+    docs = spark.range(4_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('some words ', 300) AS text")
+    most = bag_minhash._signed(docs, 5).agg(F.max("n")).first()[0]
+    assert taken == [2 << 20] and most * 3_300 <= 2 << 20
+
+
 def test_bag_minhash_unbiased():
     rng, off = random.Random(3), []
     for _ in range(80):
