@@ -309,6 +309,60 @@ def test_passage_of_two_beside_a_line_of_many(spark):
     assert len({out[order.index(i)]["class_id"] for i in range(2)}) == 1
 
 
+def test_passages_of_two_whose_seeds_many_hold(spark):
+    """Every seed of a passage of two stands in lines of many, which alone are no passages."""
+    number = itertools.count()
+    own = lambda n: [f"w{next(number)}" for _ in range(n)]
+    first, second, line, tail = own(30), own(30), own(40), own(30)
+    docs = [own(30 + i) + first + second + own(20) for i in range(2)]  # two lines side by side
+    docs += [own(15 + i) + line + own(1) + tail + own(20) for i in range(2)]  # a line, a word of its own, seeds of two
+    docs += [own(25 + i) + line[:34] + [w for i in range(0, 30, 5) for w in tail[i : i + 4] + own(1)] + own(9) for i in range(2)]
+    docs += [own(10) + part + own(25) for part in (first, second, line) for _ in range(60)]
+    docs += [own(7) + first + own(20) + second + own(5) for _ in range(20)]
+    order = list(range(len(docs)))
+    random.Random(4).shuffle(order)
+    out = {r["doc_id"]: r for r in passages.repeated_passages(frame(spark, [" ".join(docs[i]) for i in order])).collect()}
+    spans = {i: out[place]["spans"] for place, i in enumerate(order)}
+    assert (spans[0], spans[1]) == ("30:90", "31:91")
+    assert (spans[2], spans[3]) == ("15:86", "16:87")
+    assert (spans[4], spans[5]) == ("25:88", "26:89")
+    assert not any(spans[i] for i in range(6, len(docs)))
+
+
+@pytest.mark.parametrize("block", [4096, 7])
+def test_every_pair_of_a_frequent_seed(spark, monkeypatch, block):
+    """Texts that share a line with 150 others: each passage beside it is found, and each text's class."""
+    monkeypatch.setattr(passages, "_BLOCK", block)
+    rng, number = random.Random(3), itertools.count()
+    own = lambda n: [f"w{next(number)}" for _ in range(n)]
+    line, docs, twin = own(20), [], []
+    for i in range(40):
+        beside = own(40)  # four of five words are equal, never six in a row
+        other = [own(1)[0] if j % 5 == 4 else w for j, w in enumerate(beside)]
+        for words in (beside, other):
+            docs.append(own(rng.randrange(5, 60)) + line + words + own(rng.randrange(5, 60)))
+            twin.append(i)
+    docs += [own(10) + line + own(30) for _ in range(70)]
+    order = list(range(len(docs)))
+    rng.shuffle(order)
+    out = {r["doc_id"]: r for r in passages.repeated_passages(frame(spark, [" ".join(docs[i]) for i in order])).collect()}
+    rows = {i: out[place] for place, i in enumerate(order)}
+    for i in range(80):
+        assert (rows[i]["n_links"], rows[i]["n_passages"], rows[i]["class_id"]) == (1, 1, rows[i ^ 1]["class_id"]), i
+    assert not any(rows[i]["n_links"] for i in range(80, len(docs)))
+
+
+def test_many_alike_are_connected_once():
+    """Pairs within a group that passages connect are not sent one by one."""
+    rng = np.random.default_rng(5)
+    one = rng.integers(1, 255, 128)
+    alike = np.where(rng.random((600, 128)) < 0.06, rng.integers(1, 255, (600, 128)), one).astype(np.uint8)
+    apart = rng.integers(1, 255, (300, 128)).astype(np.uint8)
+    rows = np.concatenate([alike, apart])[rng.permutation(900)]
+    for pairs in (passages.close_pairs(rows, None, 6, 50, 0.8), passages.close_pairs(rows[:450], rows[450:], 6, 50, 0.8)):
+        assert 500 < len(pairs) < 1000
+
+
 def test_recall_of_changed_passages(spark):
     """Of passages that keep 80 % of their words or more, nine in ten at least are found at every length and rate."""
     rng, number, docs, kinds = random.Random(8), itertools.count(), [], []
