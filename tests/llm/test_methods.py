@@ -352,6 +352,23 @@ def test_every_pair_of_a_frequent_seed(spark, monkeypatch, block):
     assert not any(rows[i]["n_links"] for i in range(80, len(docs)))
 
 
+def test_every_place_and_link_of_frequent_seeds(spark):
+    """A passage beside the second place of a line of many; and a passage of 30 texts links each with each."""
+    number = itertools.count()
+    own = lambda n: [f"w{next(number)}" for _ in range(n)]
+    line, passage, beside = own(20), own(60), own(40)
+    other = [own(1)[0] if j % 5 == 4 else w for j, w in enumerate(beside)]
+    docs = [own(30) + line + own(70) + line + words + own(20) for words in (beside, other)]
+    docs += [own(15) + passage + own(25) for _ in range(30)]
+    docs += [own(10) + line + own(30) for _ in range(70)]
+    docs += [own(25) + ["the"] * n + own(25) for n in range(150, 160)]  # of a run every place
+    out = {r["doc_id"]: r for r in passages.repeated_passages(frame(spark, [" ".join(d) for d in docs])).collect()}
+    assert [(out[i]["n_links"], out[i]["spans"]) for i in range(2)] == [(1, "120:179")] * 2
+    assert all((out[i]["n_links"], out[i]["spans"]) == (29, "15:75") for i in range(2, 32))
+    assert not any(out[i]["n_links"] for i in range(32, 102))
+    assert all((out[i]["n_links"], out[i]["spans"]) == (9, f"25:{25 + i + 48}") for i in range(102, 112))
+
+
 def test_many_alike_are_connected_once():
     """Pairs within a group that passages connect are not sent one by one."""
     rng = np.random.default_rng(5)
